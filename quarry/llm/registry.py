@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op6_bpe
+from .jaccard_join import op2_jaccard_join
 from .mixing import OP10_SQL, op10_mixing
 from .quality_classifier import op3_quality_classifier
 from .quality_rules import op1_quality_rules
@@ -14,6 +15,7 @@ from .secrets import op9_secret_scans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_quality_classifier": op3_quality_classifier,
     "op6_bpe": op6_bpe,
     "op9_secret_scans": op9_secret_scans,
