@@ -8,18 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op6_bpe
 from .jaccard_join import op2_jaccard_join
+from .media import op5_media
 from .mixing import OP10_SQL, op10_mixing
 from .quality_classifier import op3_quality_classifier
 from .quality_rules import op1_quality_rules
 from .secrets import op9_secret_scans
+from .warc import OP4_SQL, op4_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_warc": op4_warc,
+    "op5_media": op5_media,
     "op6_bpe": op6_bpe,
     "op9_secret_scans": op9_secret_scans,
     "op10_mixing": op10_mixing,
 }
 
-SQL: dict[str, str] = {"op10_mixing": OP10_SQL}
+SQL: dict[str, str] = {"op4_warc": OP4_SQL, "op10_mixing": OP10_SQL}
