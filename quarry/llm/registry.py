@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op6_bpe
 from .jaccard_join import op2_jaccard_join
+from .language_model import op8_language_model
 from .media import op5_media
 from .mixing import OP10_SQL, op10_mixing
 from .quality_classifier import op3_quality_classifier
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_media": op5_media,
     "op6_bpe": op6_bpe,
+    "op8_language_model": op8_language_model,
     "op9_secret_scans": op9_secret_scans,
     "op10_mixing": op10_mixing,
 }
