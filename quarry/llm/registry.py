@@ -14,6 +14,7 @@ from .mixing import OP10_SQL, op10_mixing
 from .quality_classifier import op3_quality_classifier
 from .quality_rules import op1_quality_rules
 from .secrets import op9_secret_scans
+from .substring_dedup import op7_substring_dedup
 from .warc import OP4_SQL, op4_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_media": op5_media,
     "op6_bpe": op6_bpe,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_language_model": op8_language_model,
     "op9_secret_scans": op9_secret_scans,
     "op10_mixing": op10_mixing,
