@@ -7,9 +7,11 @@
    the first n - ceil(0.8 n) + 1 of each.  Any order is exact.  Ours is by hash, but
    shingles that a bounded frequency sketch over all texts finds common come last, which
    keeps the inverted lists of the prefixes short.
-3. The first document of an inverted list is its hub; every document of the list goes to
-   the block of the hub, once for all lists of that hub.  Whatever shares a list shares a
-   block, so no pair is missed, and rows grow with prefixes, not with pairs.
+3. An inverted list, in order of set size, is cut where no pair across is of the required
+   similarity, given the sizes and the places of the shingle in the sets.  The first
+   document of such a group is its hub; every document of the group goes to the block of
+   the hub, once for all lists of that hub.  Whatever shares a group shares a block, so no
+   pair is missed, and rows grow with prefixes, not with pairs.
 4. A block is searched with T-occurrence queries (DivideSkip): the longest lists of a
    query are set aside and probed by binary search, the short ones are merged with a heap
    that skips, and documents on enough lists are retained; the similarity test on their
@@ -239,22 +241,33 @@ def shingled(docs: DataFrame, id_col: str, text_col: str, last: np.ndarray) -> D
 
 
 def hubs(postings: DataFrame) -> DataFrame:
-    """(hub, id) of each inverted list of two or more; postings(token, id) come sorted in each partition."""
+    """(hub, id) of the groups of each inverted list; postings(token, id, n, most) come sorted by token, n, id.
+
+    most: the largest set that the posting's document can be similar to if this is the first shingle
+    they share.  Where a size exceeds `most` of all before it in its list, no pair spans that place, so
+    the list is cut there; a posting whose `most` is below its group's smallest size has no partner.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token0, hub0 = None, None
+        token0 = hub0 = first0 = most0 = None
         for batch in batches:
-            token, rid = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            token, rid, n, most = (batch.column(i).to_numpy().astype(np.int64) for i in range(4))
             if not len(token):
                 continue
+            # The list that the last batch ended in goes on from what is known of it.
+            goes_on = token0 is not None and token[0] == token0
+            if goes_on:
+                token, rid, n, most = (np.concatenate([[x], y]) for x, y in ((token0, token), (hub0, rid), (first0, n), (most0, most)))
             new = np.ones(len(token), bool)
             new[1:] = token[1:] != token[:-1]
-            first = np.maximum.accumulate(np.where(new, np.arange(len(token)), 0))
-            hub = rid[first]
-            if token0 is not None and token[0] == token0:
-                hub = np.where(first == 0, hub0, hub)
-            token0, hub0 = token[-1], hub[-1]
-            pair = np.flatnonzero(hub != rid)
+            lists = np.cumsum(new)
+            reach = np.maximum.accumulate((lists << 32) + most) & 0xFFFFFFFF
+            cut = new.copy()
+            cut[1:] |= n[1:] > reach[:-1]
+            first = np.maximum.accumulate(np.where(cut, np.arange(len(token)), 0))
+            hub, least = rid[first], n[first]
+            token0, hub0, first0, most0 = token[-1], hub[-1], least[-1], reach[-1]
+            pair = np.flatnonzero((hub != rid) & (most >= least))
             if len(pair):
                 p = np.unique(np.stack([hub[pair], rid[pair]], 1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], ["hub", "id"])
@@ -325,7 +338,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     sets = written(shingled(docs, id_col, text_col, common_shingles(docs, text_col)), "sets")
     classes = sets.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("id"), F.first("prefix").alias("prefix")).filter("id is not null")
-    postings = classes.select(F.explode("prefix").alias("token"), "id").repartition("token").sortWithinPartitions("token", "id")
+    most = F.floor((F.col("n") - F.col("pos")) * ((NUM + DEN) / NUM)) - F.col("n")
+    postings = classes.select(F.posexplode("prefix").alias("pos", "token"), "id", "n").select("token", "id", F.col("n").cast("int"), most.cast("int").alias("most"))
+    postings = postings.repartition("token").sortWithinPartitions("token", "n", "id")
     pairs = written(hubs(postings), "hubs")
 
     members = pairs.union(pairs.select("hub", F.col("hub").alias("id")).distinct())
