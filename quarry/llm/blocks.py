@@ -107,6 +107,13 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix(h + (ends - starts).astype(U) * GRAM)
 
 
+def run_sums(h: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """A hash of each run h[lo:hi] of hashes, which depends on their order and number."""
+    total = np.zeros(len(h) + 1, U)
+    np.cumsum(h * powers(BASE, len(h)), out=total[1:])
+    return mix((total[hi] - total[lo]) * powers(BASE_INVERSE, len(h) + 1)[lo] + (hi - lo).astype(U) * GRAM)
+
+
 def words(b: Block, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, document, start and end of each word."""
     data = LOWER[b.data] if lower else b.data

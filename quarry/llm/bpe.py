@@ -24,14 +24,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .blocks import U, blocks, mix, words
+from .blocks import U, blocks, mix, run_sums, words
 from .common import table
 
 #: A chunk ends after a word where these bits of the rolling hash are 0: about 16 words.
 CUT_MASK = 15
 #: Words that the rolling hash covers.
 CUT_WORDS = 2
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 CACHED_CHUNKS = 20_000
 #: Texts longer than this between white space are not kept in a table.
 CACHED_BYTES = 256
@@ -53,8 +53,7 @@ class ChunkCoder:
         for token, i in vocab.items():
             self.token[i] = token
         self.word_ids: dict[bytes, bytes] = {}
-        self.word_text: dict[bytes, str] = {}
-        self.chunks: dict[bytes, tuple[bytes, str]] = {}
+        self.chunks: dict[bytes, bytes] = {}
         self.agreed: set[tuple[str, str, str]] = set()
 
     def direct(self, texts: list[str]) -> list[bytes]:
@@ -66,12 +65,30 @@ class ChunkCoder:
         token = self.token
         return " ".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
-    def learn(self, parts: set[bytes]) -> None:
+    def encoded(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of words, from the table or encoded now.
+
+        A full table gives up its younger half: frequent words come early and stay.
+        """
+        missing = [p for p in parts if p not in self.word_ids]
+        if not missing:
+            return [self.word_ids[p] for p in parts]
+        if len(self.word_ids) + len(missing) > CACHED_WORDS:
+            self.word_ids = dict(islice(self.word_ids.items(), CACHED_WORDS // 2))
+            missing = [p for p in parts if p not in self.word_ids]
+        new = self.learn(missing)
+        out = [self.word_ids[p] if p in self.word_ids else new[p] for p in parts]
+        room = CACHED_WORDS - len(self.word_ids)
+        self.word_ids.update(islice(((p, v) for p, v in new.items() if len(p) <= CACHED_BYTES), max(room, 0)))
+        return out
+
+    def learn(self, parts: list[bytes]) -> dict[bytes, bytes]:
         """Encode words that are in no table.
 
         Printable words in normal form go in lines of many words, which are taken apart at
         the offsets of their tokens; others go one by one.
         """
+        out: dict[bytes, bytes] = {}
         together, alone = [], []
         for p in parts:
             t = p.decode("utf-8", "replace")
@@ -83,13 +100,11 @@ class ChunkCoder:
                 begins = np.cumsum([0, *[len(t) + 1 for _, t in line[:-1]]])
                 of = np.searchsorted(begins, [x[0] for x in e.offsets], "right")
                 cuts = np.searchsorted(of, np.arange(len(line) + 1), "right").tolist()
-                ids, token = e.ids, [self.token[i] for i in e.ids]
-                raw = np.asarray(ids, "<u4").tobytes()
+                raw = np.asarray(e.ids, "<u4").tobytes()
                 for k, (p, _) in enumerate(line):
-                    self.word_ids[p] = raw[4 * cuts[k] : 4 * cuts[k + 1]]
-                    self.word_text[p] = " ".join(token[cuts[k] : cuts[k + 1]])
-        for (p, _), ids in zip(alone, self.direct([t for _, t in alone]), strict=True):
-            self.word_ids[p], self.word_text[p] = ids, self.decode(ids)
+                    out[p] = raw[4 * cuts[k] : 4 * cuts[k + 1]]
+        out.update(zip([p for p, _ in alone], self.direct([t for _, t in alone]), strict=True))
+        return out
 
     def joins_agree(self, left: bytes, gap: bytes, right: bytes) -> bool:
         a, g, b = left.decode("utf-8", "replace"), gap.decode(), right.decode("utf-8", "replace")
@@ -122,38 +137,43 @@ class ChunkCoder:
                 if not self.joins_agree(data[starts[i] : ends[i]], data[ends[i] : starts[i + 1]], data[starts[i + 1] : ends[i + 1]]):
                     cut[inner[_same_edge(b.data, starts, ends, inner, i)]] = False
         stops = np.flatnonzero(cut)
-        first = np.concatenate([[0], stops[:-1] + 1]) if len(stops) else stops
-        chunk_doc = doc[stops]
-        texts = [data[s:e] for s, e in zip(starts[first].tolist(), ends[stops].tolist(), strict=True)]
-        known = self.chunks
-        made: dict[bytes, tuple[bytes, str]] = {}
-        parts = {t: t.split() for t in texts if t not in known}
-        if parts:
-            needed = set().union(*parts.values())
-            missing = needed - self.word_ids.keys()
-            if len(self.word_ids) + len(missing) > CACHED_WORDS:
-                self.word_ids.clear()
-                self.word_text.clear()
-                missing = needed
-            self.learn(missing)
-            ids_of, text_of = self.word_ids.__getitem__, self.word_text.__getitem__
-            empty = {w for w in needed if not self.word_ids[w]}
-            for t, p in parts.items():
-                made[t] = b"".join(map(ids_of, p)), " ".join(map(text_of, p) if not empty else [text_of(w) for w in p if w not in empty])
-            for w in [w for w in missing if len(w) > CACHED_BYTES]:
-                del self.word_ids[w], self.word_text[w]
-        out_ids: list[list[bytes]] = [[] for _ in range(b.n)]
-        out_text: list[list[str]] = [[] for _ in range(b.n)]
-        for d, t in zip(chunk_doc.tolist(), texts, strict=True):
-            ids, text = made[t] if t in made else known[t]
-            out_ids[d].append(ids)
-            if text:
-                out_text[d].append(text)
-        if len(known) + len(made) > CACHED_CHUNKS:
-            known.clear()
-        known.update(islice(((t, v) for t, v in made.items() if len(t) <= CACHED_BYTES * CUT_MASK), CACHED_CHUNKS))
-        for ids, text in zip(out_ids, out_text, strict=True):
-            yield b"".join(ids), " ".join(text)
+        if not len(stops):
+            for _ in range(b.n):
+                yield b"", ""
+            return
+        first = np.concatenate([[0], stops[:-1] + 1])
+        # Equal chunks of the block are looked up once, by the hash of their words.
+        _, one, where = np.unique(run_sums(h, first, stops + 1), return_index=True, return_inverse=True)
+        texts = [data[s:e] for s, e in zip(starts[first[one]].tolist(), ends[stops[one]].tolist(), strict=True)]
+        ids: list[bytes | None] = [self.chunks.get(t) for t in texts]
+        new = [i for i, x in enumerate(ids) if x is None]
+        if new:
+            self._put_together(data, h, starts, ends, first[one[new]], stops[one[new]] + 1, new, ids)
+            if len(self.chunks) + len(new) > CACHED_CHUNKS:
+                self.chunks.clear()
+            self.chunks.update(islice(((texts[i], ids[i]) for i in new if len(texts[i]) <= CACHED_BYTES * CUT_MASK), CACHED_CHUNKS))
+        ordered = [ids[i] for i in where.tolist()]
+        cuts = np.searchsorted(doc[stops], np.arange(b.n + 1)).tolist()
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            raw = b"".join(ordered[i:j])
+            yield raw, self.decode(raw)
+
+    def _put_together(self, data: bytes, h, starts, ends, lo, hi, new: list[int], ids: list[bytes | None]) -> None:
+        """Ids of chunks lo..hi (word numbers) from those of their words."""
+        length = hi - lo
+        at = np.repeat(lo - np.cumsum(length) + length, length) + np.arange(length.sum())
+        _, one, where = np.unique(h[at], return_index=True, return_inverse=True)
+        one = at[one]
+        got = self.encoded([data[s:e] for s, e in zip(starts[one].tolist(), ends[one].tolist(), strict=True)])
+        pool = np.frombuffer(b"".join(got), "<u4")
+        n = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        begin = np.cumsum(n) - n
+        each = n[where]
+        total = np.concatenate([[0], np.cumsum(each)])
+        raw = pool[np.repeat(begin[where] - total[:-1], each) + np.arange(total[-1])].tobytes()
+        bounds = (4 * total[np.concatenate([[0], np.cumsum(length)])]).tolist()
+        for i, s, e in zip(new, bounds[:-1], bounds[1:], strict=True):
+            ids[i] = raw[s:e]
 
 
 def _edges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -179,13 +199,25 @@ def _same_edge(data, starts, ends, at, i) -> np.ndarray:
     return np.flatnonzero(e == e[np.flatnonzero(at == i)[0]])
 
 
+_coders: dict[int, ChunkCoder] = {}
+
+
+def worker_coder(json: str) -> ChunkCoder:
+    """The coder of this Python worker: Spark reuses workers, so tables outlive tasks."""
+    key = hash(json)
+    if key not in _coders:
+        _coders.clear()
+        _coders[key] = ChunkCoder(json)
+    return _coders[key]
+
+
 def encode(docs: DataFrame, tokenizer_json: str, text_col: str = "text") -> DataFrame:
     """docs with token_ids (little-endian unsigned 32-bit) and decoded."""
     schema = T.StructType([*docs.schema.fields, T.StructField("token_ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ChunkCoder(tokenizer_json)
+        coder = worker_coder(tokenizer_json)
         for batch in batches:
             # Slices bound what is held at once where texts are long.
             for lo in range(0, batch.num_rows, 1024):
