@@ -31,6 +31,11 @@ MARKED = "àáâãäåāăąçćčďèéêëēėęěìíîïīįñńňṇṅòó
 PLAIN = "aaaaaaaaacccdeeeeeeeeiiiiiinnnnnooooooorrrssssttuuuuuuuyyzzzdhmlm"
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with value computed once a row: inside lambdas an expression would be computed for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def empty_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
@@ -111,8 +116,10 @@ def proper_nouns(c: Column, stop: list[str] = STOP_TERMS) -> Column:
     text = empty_if_null(c)
     capital = rf"(?<![\p{{L}}\p{{N}}\p{{M}}_'’-])\p{{Lu}}[\p{{L}}\p{{N}}\p{{M}}_'’-]{{2,}}"
     inner = F.regexp_extract_all(text, F.lit(rf"(?<=[^\s{SENTENCE_START}]\s{{1,9}}|[^\s\p{{L}}\p{{N}}\p{{M}}_'’{SENTENCE_START}])({capital})"), F.lit(1))
-    found = F.filter(inner, lambda w: ~F.lower(w).isin(stop))
-    return F.filter(found, lambda w, i: F.array_position(F.transform(found, lambda x: F.lower(x)), F.lower(w)) == i + 1)
+    def distinct(found: Column) -> Column:
+        return let(F.transform(found, lambda x: F.lower(x)), lambda low: F.filter(found, lambda w, i: F.array_position(low, F.lower(w)) == i + 1))
+
+    return let(F.filter(inner, lambda w: ~F.lower(w).isin(stop)), distinct)
 
 
 def predicate_key(c: Column) -> Column:
@@ -168,9 +175,11 @@ def dehyphenate(c: Column) -> Column:
 
 def word_shingles(c: Column, k: int = 8, stride: int = 2) -> Column:
     """Hashes of every stride-th run of k words, distinct; none for texts with fewer."""
-    w = F.transform(words(c), lambda x: F.lower(x))
-    at = lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, k), " "))
-    return F.when(F.size(w) >= k, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - k, F.lit(stride)), at))).otherwise(F.array().cast("array<bigint>"))
+    def of(w: Column) -> Column:
+        at = lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, k), " "))
+        return F.when(F.size(w) >= k, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - k, F.lit(stride)), at))).otherwise(F.array().cast("array<bigint>"))
+
+    return let(F.transform(words(c), lambda x: F.lower(x)), of)
 
 
 def page_stamp(c: Column) -> Column:

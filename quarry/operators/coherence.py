@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions.text import let
+
 XREF = (
     r"(?i)\b(?:(as (?:we (?:saw|have seen)|noted|discussed|described|shown)(?: (?:above|earlier|in chapter (\d+)))?|discussed (?:above|earlier)|(?:in|see) (?:the )?(?:previous|preceding|earlier) chapter|chapter (\d+) (?:showed|described|discussed))"
     r"|((?:as )?(?:we (?:shall|will) see|will be (?:discussed|described)|discussed (?:below|later))|(?:in|see) (?:the )?(?:next|following|later) chapter)|(?:see |in )?chapter (\d+))"
@@ -41,7 +43,10 @@ def chapter_mentions(chapters: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def ngrams(words: Column, n: int) -> Column:
-    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    def of(w: Column) -> Column:
+        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
+
+    return let(words, of)
 
 
 def repeated_ngrams(sections: DataFrame, n: int = 10) -> DataFrame:
