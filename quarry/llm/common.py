@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Java regex of a word: a run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,6 +56,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+#: Tables of at most this many narrow rows may be broadcast (some 16 MB); larger ones are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, name: str) -> DataFrame:
+    """df written as a table, with a broadcast hint if its row count, which is checked, allows."""
+    out = written(df, name)
+    return F.broadcast(out) if out.count() <= BROADCAST_ROWS else out
+
+
 def drop_written(df: DataFrame) -> None:
     """Delete a table made by written() that nothing reads any more."""
     spark, path = df.sparkSession, getattr(df, "_quarry_path", None)

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .blocks import U, blocks, mix, shingle_sets
-from .common import drop_written, table, written
+from .common import drop_written, small_side, table, written
 
 SHINGLE = 5
 #: Similarity: NUM * union <= DEN * intersection.
@@ -344,8 +344,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = written(hubs(postings), "hubs")
 
     members = pairs.union(pairs.select("hub", F.col("hub").alias("id")).distinct())
-    n_chunks = pairs.groupBy("hub").agg(F.ceil((F.count("*") + 1) / BLOCK).cast("int").alias("chunks"))
-    dealt = members.join(n_chunks, "hub").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    # Only hubs of more than one chunk are joined, and by broadcast where they are few: rows of one hub stay spread.
+    n_chunks = pairs.groupBy("hub").agg(F.ceil((F.count("*") + 1) / BLOCK).cast("int").alias("chunks")).filter("chunks > 1")
+    dealt = members.join(small_side(n_chunks, "chunks"), "hub", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     dealt = dealt.withColumn("chunk", F.when(F.col("id") == F.col("hub"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))).withColumn("chunk", F.explode("chunk"))
     texts = docs.select(F.col(id_col).cast("long").alias("t_id"), F.col(text_col).alias("text")).filter("t_id is not null and text is not null")
 
@@ -366,7 +367,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = searched(large.join(open_, "hub", "left_semi").select("hub", "chunk", "id", F.lit(1).alias("role"), "label").union(asked))
         roots = written(components(links.union(more)), "roots")
 
-    rooted = classes.select("n", "h1", "h2", "id").join(roots, "id", "left").select("n", "h1", "h2", F.coalesce("root", "id").alias("component_id"))
+    # Written, so that the join below is one of two plain exchanges, whose hot partitions Spark splits.
+    classes = sets.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("id")).filter("id is not null")
+    rooted = written(classes.join(roots, "id", "left").select("n", "h1", "h2", F.coalesce("root", "id").alias("component_id")), "rooted")
     return (
         sets.select("id", "n", "h1", "h2").join(rooted, ["n", "h1", "h2"], "left")
         .select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
@@ -383,3 +386,20 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = link_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+#: Without skips or blocks: every pair that shares a shingle is counted, and labels spread along links.
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(g) AS g FROM (
+  SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM w WHERE len(w) BETWEEN 1 AND 4)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id WHERE r.root < e.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT id, min(root) AS component_id FROM r GROUP BY id) m ON m.id = d.doc_id
+"""
