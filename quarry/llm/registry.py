@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op6_bpe
-from .jaccard_join import op2_jaccard_join
+from .jaccard_join import OP2_SQL, op2_jaccard_join
 from .language_model import op8_language_model
 from .media import op5_media
 from .mixing import OP10_SQL, op10_mixing
 from .quality_classifier import op3_quality_classifier
 from .quality_rules import op1_quality_rules
-from .secrets import op9_secret_scans
+from .secrets import OP9_SQL, op9_secret_scans
 from .substring_dedup import op7_substring_dedup
 from .warc import OP4_SQL, op4_warc
 
@@ -30,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
-SQL: dict[str, str] = {"op4_warc": OP4_SQL, "op10_mixing": OP10_SQL}
+SQL: dict[str, str] = {"op2_jaccard_join": OP2_SQL, "op4_warc": OP4_SQL, "op9_secret_scans": OP9_SQL, "op10_mixing": OP10_SQL}

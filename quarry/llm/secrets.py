@@ -141,3 +141,34 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = lambda r: F.size(F.filter("secret_base", lambda x: x["rank"] == r)).cast("long")
     return found.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"), F.sha2(written_spans("secret_base"), 256).alias("base_sha256"), written_spans("secret_spans").alias("spans"))
+
+
+def _matches(pattern: str, rank: int, value: bool = False) -> str:
+    p = pattern.replace("'", "''")
+    keep = f"regexp_extract_all(t, '{p}', 2)" if value else "NULL"
+    return f"SELECT doc_id, {rank} AS rank, regexp_extract_all(t, '{p}') AS m, regexp_split_to_array(t, '{p}') AS g, {keep} AS v FROM d"
+
+
+#: The allow-list without its back-reference, which is tested beside it.
+_ALLOWED_RE2 = ALLOWED.replace(r"|(.)\1+", "")
+
+OP9_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+a AS ({_matches(ASSIGN, 0, True)} UNION ALL {_matches(ACCESS, 1)} UNION ALL {_matches(HEX, 2)} UNION ALL {_matches(CANDIDATE, 3)}),
+h AS (SELECT doc_id, rank, unnest(range(1, len(m) + 1)) AS i, unnest(m) AS hit, unnest(g[1:len(m)]) AS gap, unnest(CASE WHEN v IS NULL THEN m ELSE v END) AS v FROM a),
+p AS (SELECT *, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, rank ORDER BY i) AS BIGINT) AS e FROM h),
+s AS (SELECT doc_id, rank, hit, e - length(hit) AS s, e FROM p
+      WHERE rank = 3 OR (rank = 0 AND length(v) >= {ASSIGN_VALUE}) OR (rank = 1 AND length(hit) >= 20) OR (rank = 2 AND length(hit) >= 24)),
+c AS (SELECT * FROM s x WHERE rank = 3 AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND NOT regexp_matches(hit, '{_ALLOWED_RE2}')
+      AND NOT EXISTS (SELECT 1 FROM s y WHERE y.rank < 3 AND y.doc_id = x.doc_id AND y.s < x.e AND x.s < y.e)),
+w AS (SELECT doc_id, hit, s, e, k, string_split(substr(hit, k, {WINDOW}), '') AS ch FROM (SELECT *, unnest(range(1, length(hit) - {WINDOW} + 2)) AS k FROM c)),
+n AS (SELECT doc_id, hit, s, e, k, one, count(*) AS n FROM (SELECT * EXCLUDE (ch), unnest(ch) AS one FROM w) GROUP BY doc_id, hit, s, e, k, one),
+b AS (SELECT doc_id, hit, s, e, k, log2({WINDOW}.0) - sum(n * log2(n)) / {WINDOW}.0 AS bits FROM n GROUP BY doc_id, hit, s, e, k),
+x AS (SELECT doc_id, 3 AS rank, hit, s, e FROM b GROUP BY doc_id, hit, s, e
+      HAVING max(bits) >= CASE WHEN regexp_full_match(hit, '[0-9a-f]+|[0-9A-F]+') THEN {HEX_BITS} ELSE {BASE64_BITS} END),
+f AS (SELECT doc_id, rank, s, e, ['assign', 'entropy'][rank + 1] || ':' || s || ':' || e AS w FROM (SELECT doc_id, rank, s, e FROM s WHERE rank < 3 UNION ALL SELECT doc_id, rank, s, e FROM x)),
+o AS (SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+        coalesce(string_agg(w, ',' ORDER BY s, rank) FILTER (rank < 3), '') AS base, string_agg(w, ',' ORDER BY s, rank) AS spans FROM f GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN o USING (doc_id)
+"""
