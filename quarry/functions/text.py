@@ -36,6 +36,11 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def strip(c: Column) -> Column:
+    """c without white space at its ends."""
+    return F.btrim(c, F.lit(" \t\r\n\x0b\x0c"))
+
+
 def empty_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 

@@ -392,7 +392,7 @@ def dup_demotion(spark, sf_dir):
 
 RUNNING = r"""WITH l AS (SELECT doc_id AS doc, regexp_replace(regexp_replace(x, '^[*_ ]+', ''), '[*_ ]+$', '') AS bare FROM (
   SELECT doc_id, CASE WHEN regexp_matches(x, '^(#{1,6})\s*(.*?)\s*#*$') THEN regexp_extract(x, '^(#{1,6})\s*(.*?)\s*#*$', 2) ELSE x END AS x FROM (
-    SELECT doc_id, trim(unnest(string_split(coalesce(text, ''), chr(10))), ' ') AS x FROM documents))),
+    SELECT doc_id, trim(unnest(string_split(coalesce(text, ''), chr(10))), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS x FROM documents))),
 m AS (SELECT doc, bare, length(regexp_replace(bare, '[^\p{L}]', '', 'g')) AS nl, length(regexp_replace(bare, '[^\p{Lu}]', '', 'g')) AS nu FROM l WHERE length(bare) BETWEEN 3 AND 70)
 SELECT doc, bare, count(*) AS hits FROM m WHERE nl > 0 AND nu / nl >= 0.6 GROUP BY ALL HAVING count(*) >= 5"""
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions.text import strip
+
 CHUNK = "rowid long, source string, chunk int, trail string, heading string, page_start int, page_end int, text string, context string"
 PASSAGE = "struct<id:string,chunk_id:bigint,source:string,trail:string,heading:string,page_start:int,page_end:int,score:double,text:string>"
 PACK = f"n int, title string, theme string, scope string, kb struct<hash:string,count:bigint,config:string>, subtopics array<struct<key:string,question:string,status:string,note:string,cut:double,unevidenced:array<string>,n_candidates:int,queries:array<string>,retrieval:struct<reranker:string,floor_mode:string>,passages:array<{PASSAGE}>>>"
@@ -88,15 +90,15 @@ def det_spans(raw: Column) -> Column:
     kinds, boxes = F.regexp_extract_all(raw, F.lit(DET), F.lit(1)), F.regexp_extract_all(raw, F.lit(DET), F.lit(2))
     texts = F.slice(F.split(raw, DET), 2, F.greatest(F.size(kinds), F.lit(1)))
     box = lambda b: F.filter(F.transform(F.regexp_extract_all(b, F.lit(r"(-?\d+(?:\.\d+)?)"), F.lit(1)), lambda x: x.cast("double")), lambda x: x.isNotNull())
-    rows = F.transform(F.arrays_zip(kinds.alias("k"), boxes.alias("b"), texts.alias("t")), lambda z: F.struct(F.lower(z["k"]).alias("type"), box(z["b"]).alias("bbox"), F.trim(z["t"]).alias("text")))
-    whole = F.array(F.struct(F.lit("text").alias("type"), F.array().cast("array<double>").alias("bbox"), F.trim(raw).alias("text")))
+    rows = F.transform(F.arrays_zip(kinds.alias("k"), boxes.alias("b"), texts.alias("t")), lambda z: F.struct(F.lower(z["k"]).alias("type"), box(z["b"]).alias("bbox"), strip(z["t"]).alias("text")))
+    whole = F.array(F.struct(F.lit("text").alias("type"), F.array().cast("array<double>").alias("bbox"), strip(raw).alias("text")))
     return F.when(F.size(kinds) > 0, rows).otherwise(whole)
 
 
 def elements_markdown(elements: Column) -> Column:
     """Elements as Markdown: furniture goes, titles become headings, others keep their type in a comment."""
     shown = F.filter(elements, lambda e: ~e["type"].isin(*SKIPPED) & (F.trim(F.coalesce(e["text"], F.lit(""))) != ""))
-    line = lambda e: F.when(e["type"] == "title", F.concat(F.lit("## "), F.trim(e["text"]))).when(e["type"] == "text", F.trim(e["text"])).otherwise(F.concat(F.lit("<!-- element:"), e["type"], F.lit(" -->\n"), F.trim(e["text"])))
+    line = lambda e: F.when(e["type"] == "title", F.concat(F.lit("## "), strip(e["text"]))).when(e["type"] == "text", strip(e["text"])).otherwise(F.concat(F.lit("<!-- element:"), e["type"], F.lit(" -->\n"), strip(e["text"])))
     return F.array_join(F.transform(shown, line), "\n\n")
 
 
@@ -132,4 +134,4 @@ def split_pages(text: Column) -> Column:
     """[(page, text)] of a text with page marks."""
     numbers = F.regexp_extract_all(text, F.lit(r"<!--\s*page\s+(\d+)[^>]*-->"), F.lit(1))
     bodies = F.slice(F.split(text, r"<!--\s*page\s+\d+[^>]*-->"), 2, F.greatest(F.size(numbers), F.lit(1)))
-    return F.transform(F.arrays_zip(numbers.alias("n"), bodies.alias("t")), lambda z: F.struct(z["n"].cast("int").alias("page"), F.trim(z["t"]).alias("text")))
+    return F.transform(F.arrays_zip(numbers.alias("n"), bodies.alias("t")), lambda z: F.struct(z["n"].cast("int").alias("page"), strip(z["t"]).alias("text")))

@@ -22,16 +22,21 @@ def append(df: DataFrame, path: str, checkpoint: str, once: bool = True) -> Stre
     return (w.trigger(availableNow=True) if once else w).start()
 
 
+def _timed(events: DataFrame) -> DataFrame:
+    """Watermarks need timestamps with a time zone."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def event_windows(events: DataFrame, size: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
     """Counts and sums by window and type; what comes later than `late` is left out."""
-    out = events.withWatermark("ts", late).groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    out = _timed(events).withWatermark("ts", late).groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return out.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), "event_type", "n", "total")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
-    out = events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n"))
+    out = _timed(events).withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n"))
     return out.select("user_id", F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n")
 
 
 def distinct_events(events: DataFrame, late: str = "1 hour") -> DataFrame:
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
+    return _timed(events).withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
