@@ -115,18 +115,18 @@ def records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
         yield header, payload
 
 
-def gunzipped(data: bytes, piece: int = 1 << 18) -> Iterator[bytes]:
-    """Every member of a gzip file, in pieces."""
+def gunzipped(data: bytes, piece: int = 1 << 14) -> Iterator[bytes]:
+    """Every member of a gzip file, from pieces of input of that size; each expands a thousandfold at most."""
     view, at = memoryview(data), 0
     while at < len(view):
         d = zlib.decompressobj(31)
         while not d.eof and at < len(view):
-            part = view[at : at + (1 << 16)]
+            part = view[at : at + piece]
             at += len(part)
-            out = d.decompress(part, piece)
-            while out:
+            if out := d.decompress(part):
                 yield out
-                out = d.decompress(d.unconsumed_tail, piece) if d.unconsumed_tail else b""
+        if not d.eof:
+            raise ValueError("a gzip file without its end")
         at -= len(d.unused_data)
 
 
