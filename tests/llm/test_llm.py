@@ -484,3 +484,11 @@ def _kept(df, name):
     from quarry.llm.common import written
 
     return written(df, f"test-{name}")
+
+
+def test_passages_of_texts_that_repeat_themselves():
+    period = list(range(20))
+    a = np.array(period * 5, np.uint64)
+    assert sd.passages(a, a)[0][:4] == (0, 100, 0, 100)
+    assert sd.passages(a, np.array([99, 98, *period * 4], np.uint64))[0][2:4] == (2, 82)
+    assert sd.passages(a, np.array(period + [77] * 60, np.uint64)) == [] and sd.passages(a, a[:45]) == []
