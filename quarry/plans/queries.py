@@ -448,7 +448,9 @@ WORDS = rf"wd AS (SELECT rowid, word, count(*) AS n FROM (SELECT doc_id AS rowid
 
 @query(f"WITH {WORDS} SELECT folded AS token, CAST(sum(n) AS BIGINT) AS n FROM wd JOIN uw USING (word) WHERE folded <> '' GROUP BY folded")
 def fold_tokens(spark, sf_dir):
-    return documents(spark, sf_dir).select(F.explode(tx.folded_words(F.col("text"))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    # Words are counted first, so each distinct one is folded once.
+    words = documents(spark, sf_dir).select(F.explode(tx.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return words.groupBy(tx.fold(F.col("word")).alias("token")).agg(F.sum("n").alias("n")).filter("token <> ''")
 
 
 @query(rf"SELECT doc_id, x AS numeral, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '{_sql(tx.NUMERAL)}')) AS x FROM documents) GROUP BY ALL")
