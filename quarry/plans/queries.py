@@ -326,11 +326,7 @@ def structural_labels(spark, sf_dir):
 def _parity(spark, sf_dir) -> DataFrame:
     """Quality by the rule whose word pattern has no one-letter words, so that SQL without look-around can follow."""
     docs = documents(spark, sf_dir).withColumn("structural", lb.structural_label(F.col("text"), F.lit("")))
-    damage, lb.ocr_damage = lb.ocr_damage, lambda x: damage(x, count_singles=False)
-    try:
-        rows = lb.quality(docs)
-    finally:
-        lb.ocr_damage = damage
+    rows = lb.quality(docs, count_singles=False)
     return rows.withColumn("chars", F.length(F.coalesce("text", F.lit(""))))
 
 
