@@ -22,7 +22,7 @@ def test_config():
     assert config.section_hash(a, "index") == config.section_hash(config.DEFAULTS, "index")
 
 
-@pytest.mark.parametrize("a, b", [("Udayeśvara", "Udayeshwar"), ("Viśvakarma", "Vishwakarma's"), ("Bhoja", "boja")])
+@pytest.mark.parametrize("a, b", [("Rājeśvara", "Rajeshwar"), ("Viśvakarma", "Vishwakarma's"), ("Bhoja", "boja")])
 def test_fold(spark, a, b):
     x, y = one(spark, tx.fold(F.lit(a))), one(spark, tx.fold(F.lit(b)))
     assert x.rstrip("a") == y.rstrip("a") and x
@@ -36,7 +36,7 @@ def test_text_functions(spark):
     assert one(spark, tx.predicate_key(F.lit("was built by the"))) == ["built", "by", "the"]
     assert one(spark, tx.predicate_key(F.lit("built by the"))) == ["built", "by", "the"]
     assert one(spark, tx.dehyphenate(F.lit("tem-\n ple"))) == "temple"
-    assert one(spark, tx.surname(F.lit("Kramrisch, Stella and X"))) == one(spark, tx.fold(F.lit("Kramrisch")))
+    assert one(spark, tx.surname(F.lit("Mason, Stella and X"))) == one(spark, tx.fold(F.lit("Mason")))
     assert one(spark, tx.anchor(F.lit(" The Plan: one!"))) == "the-plan-one"
     assert one(spark, tx.endnote(F.lit("K"), F.lit("A > B"), F.lit(3), F.lit(4))) == "K, 'B', pp. 3-4"
     assert one(spark, tx.claim_id(F.lit("a"), F.lit(None).cast("string"))) != one(spark, tx.claim_id(F.lit("a")))
@@ -192,8 +192,8 @@ def test_entities(spark):
 
 
 def test_unattested(spark):
-    terms = spark.createDataFrame([(1, "Bhojadeva"), (1, "Ujjain"), (1, "Udayeshwar"), (2, "Bhoja")], "sub int, term string")
-    passages = spark.createDataFrame([(1, "King Bhoja saw Udayesvara.")], "sub int, text string")
+    terms = spark.createDataFrame([(1, "Bhojadeva"), (1, "Ujjain"), (1, "Rajeshwar"), (2, "Bhoja")], "sub int, term string")
+    passages = spark.createDataFrame([(1, "King Bhoja saw Rajesvara.")], "sub int, text string")
     got = {(r["sub"], r["term"]) for r in en.unattested(terms, passages, en.aliases(registry(spark))).collect()}
     assert got == {(1, "Ujjain"), (2, "Bhoja")}
 
@@ -303,15 +303,15 @@ def test_conflicts(spark):
 
 
 def test_works(spark):
-    ids = spark.createDataFrame([("k.md", "Kramrisch, Stella", "The Hindu Temple in full", 1946, "htf"), ("b.md", "Brown, Percy", "Buddhist architecture", 1942, "ba")], "source string, author string, title string, year int, alias string")
-    works = spark.createDataFrame([("W1", "Kramrisch, S", None, 1946), ("W2", "Nobody", "A study of architecture", 1900), ("W3", None, "Buddhist architecture", None)], "work_id string, author string, title string, year int")
+    ids = spark.createDataFrame([("k.md", "Mason, Stella", "The Hindu Temple in full", 1946, "htf"), ("b.md", "Brown, Percy", "Buddhist architecture", 1942, "ba")], "source string, author string, title string, year int, alias string")
+    works = spark.createDataFrame([("W1", "Mason, S", None, 1946), ("W2", "Nobody", "A study of architecture", 1900), ("W3", None, "Buddhist architecture", None)], "work_id string, author string, title string, year int")
     assert {r["work_id"]: (r["source"], r["score"]) for r in cl.match_works(works, cl.corpus_identities(ids)).collect()} == {"W1": ("k.md", 3), "W3": ("b.md", 3)}
-    text = "Brown, Percy, Indian Architecture,\nBombay, 1942.\n— Buddhist Times, Press, 1950.\nKramrisch (1946) says; see (Brown, 1942: 3) ibid."
+    text = "Brown, Percy, Indian Architecture,\nBombay, 1942.\n— Buddhist Times, Press, 1950.\nMason (1946) says; see (Brown, 1942: 3) ibid."
     rows = spark.createDataFrame([(1, "s", text)], "rowid long, source string, text string")
     e = cl.bibliography_entries(rows).orderBy("pos").collect()
     assert e[0]["raw"] == "Brown, Percy, Indian Architecture, Bombay, 1942." and e[1]["author"] == e[0]["author"]
     kinds = {(r["kind"], r["author"], r["year"]) for r in cl.citation_surfaces(rows).collect()}
-    assert {("narrative_year", "Kramrisch", 1946), ("author_year", "Brown", 1942)} <= kinds and any(k[0] == "ibid" for k in kinds)
+    assert {("narrative_year", "Mason", 1946), ("author_year", "Brown", 1942)} <= kinds and any(k[0] == "ibid" for k in kinds)
 
 
 def test_coherence(spark):
