@@ -6,6 +6,9 @@ working memory is bounded by the block or, if larger, by one document.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,6 +17,26 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
+
+
+def tidy(run):
+    """run, a function of Arrow batches, that gives unused memory back at its end: Python workers live on, and what
+    one operator once needed would be held through all that follow."""
+
+    def with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+                if trim is not None:
+                    trim(0)
+
+    return with_end
+
+
 BASE = U(0x9E3779B97F4A7C15)
 BASE_INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 GRAM = U(0xD6E8FEB86659FD93)

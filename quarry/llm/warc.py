@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .blocks import tidy
 from .common import new_path, table, written
 
 REVISIT_FROM = 1000
@@ -148,7 +149,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), TYPES, strict=True)], NAMES)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(run, "page_id long, record_type string, refers_to long, url string, header_digest string, stored_bytes long, stored_digest string")
+    return files.mapInArrow(tidy(run), "page_id long, record_type string, refers_to long, url string, header_digest string, stored_bytes long, stored_digest string")
 
 
 NAMES = ["page_id", "record_type", "refers_to", "url", "header_digest", "stored_bytes", "stored_digest"]
