@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .blocks import blocks, mix, run_sums, tidy, U, words
-from .common import table
+from .common import small_batches, table
 
 #: A chunk ends after a word where these bits of the rolling hash are 0: about 16 words.
 CUT_MASK = 15
@@ -226,7 +226,7 @@ def encode(docs: DataFrame, tokenizer_json: str, text_col: str = "text") -> Data
                 cols = [*part.columns, pa.array([c[0] for c in coded], pa.binary()), pa.array([c[1] for c in coded], pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, [*part.schema.names, "token_ids", "decoded"])
 
-    return docs.mapInArrow(tidy(run), schema)
+    return small_batches(docs).mapInArrow(tidy(run), schema)
 
 
 def decode(coded: DataFrame, tokenizer_json: str, ids_col: str = "token_ids", to: str = "decoded") -> DataFrame:
@@ -243,7 +243,7 @@ def decode(coded: DataFrame, tokenizer_json: str, ids_col: str = "token_ids", to
             cols = [c for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != to]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(texts, pa.string())], schema.names)
 
-    return coded.mapInArrow(tidy(run), schema)
+    return small_batches(coded).mapInArrow(tidy(run), schema)
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:

@@ -66,6 +66,19 @@ def small_side(df: DataFrame, name: str) -> DataFrame:
     return F.broadcast(out) if out.count() <= BROADCAST_ROWS else out
 
 
+#: Rows of an Arrow batch, at most, where rows hold texts: Spark's default of 10 000 buffers some 100 MB a task.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, after the session's bound on rows of an Arrow batch was lowered to BATCH_ROWS if it was higher."""
+    now = int(df.sparkSession.conf.get(_BATCH, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        df.sparkSession.conf.set(_BATCH, str(BATCH_ROWS))
+    return df
+
+
 def drop_written(df: DataFrame) -> None:
     """Delete a table made by written() that nothing reads any more."""
     spark, path = df.sparkSession, getattr(df, "_quarry_path", None)

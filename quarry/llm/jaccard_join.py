@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .blocks import blocks, mix, shingle_sets, tidy, U
-from .common import drop_written, small_side, table, written
+from .common import drop_written, small_batches, small_side, table, written
 
 SHINGLE = 5
 #: Similarity: NUM * union <= DEN * intersection.
@@ -208,7 +208,7 @@ def common_shingles(docs: DataFrame, text_col: str) -> np.ndarray:
         top = top[n[top] >= 4]
         yield pa.RecordBatch.from_arrays([pa.array(token[top].view(np.int64)), pa.array(n[top])], ["token", "n"])
 
-    found = docs.select(text_col).mapInArrow(tidy(run), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= SKETCH_LEAST)
+    found = small_batches(docs.select(text_col)).mapInArrow(tidy(run), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= SKETCH_LEAST)
     rows = found.orderBy(F.desc("n"), "token").limit(SKETCH_KEPT).collect()
     return np.array([r["token"] for r in reversed(rows)], np.int64).view(U)
 
@@ -237,7 +237,7 @@ def shingled(docs: DataFrame, id_col: str, text_col: str, last: np.ndarray) -> D
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(g[kept].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(b.lo, b.n), pa.array(n.astype(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), prefix], ["id", "n", "h1", "h2", "prefix"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(tidy(run), "id long, n long, h1 long, h2 long, prefix array<long>")
+    return small_batches(docs.select(F.col(id_col).cast("long").alias("id"), text_col)).mapInArrow(tidy(run), "id long, n long, h1 long, h2 long, prefix array<long>")
 
 
 def hubs(postings: DataFrame) -> DataFrame:
@@ -307,7 +307,7 @@ def found_links(rows: DataFrame) -> DataFrame:
         if out := done():
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["u", "v"])
 
-    return rows.mapInArrow(tidy(run), "u long, v long")
+    return small_batches(rows).mapInArrow(tidy(run), "u long, v long")
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:

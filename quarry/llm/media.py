@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .blocks import tidy
-from .common import table, written
+from .common import small_batches, table, written
 
 SAMPLE = 576
 #: Samples of a chunk, and from one keyframe to the next.
@@ -178,7 +178,7 @@ def stored(docs: DataFrame, text_col: str = "text", to: str = "media") -> DataFr
                 cols = [c for i, c in enumerate(part.columns) if i != at]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array([len(x) for x in raw], pa.int64()), pa.array([store(padded(x)) for x in raw], pa.binary())], schema.names)
 
-    return docs.mapInArrow(tidy(run), schema)
+    return small_batches(docs).mapInArrow(tidy(run), schema)
 
 
 FEATURES = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, codec string, duration_seconds double, keyframes array<struct<start:long,end:long>>, feature string"
@@ -207,7 +207,7 @@ def features(media: DataFrame, media_col: str = "media") -> DataFrame:
                 cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept_at], *cols], schema.names)
 
-    return media.mapInArrow(tidy(run), schema)
+    return small_batches(media).mapInArrow(tidy(run), schema)
 
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .blocks import blocks, tidy
-from .common import table
+from .common import small_batches, table
 from .linear import Features, margins, sigmoid, sparse_rows, train_ftrl, training_sample
 
 MAX_TRAINING_ROWS = 10_000
@@ -58,7 +58,7 @@ def score(docs: DataFrame, model: Classifier, text_col: str = "text", to: str =
                 p = np.concatenate([sigmoid(margins(b, FEATURES, model.weights, model.bias)) for b in blocks(batch.column(at))])
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], schema.names)
 
-    return docs.mapInArrow(tidy(run), schema)
+    return small_batches(docs).mapInArrow(tidy(run), schema)
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

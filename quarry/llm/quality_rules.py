@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .blocks import Block, blocks, counts, grams, IS_SPACE, mix, run_hashes, spans, tidy, words
-from .common import table
+from .common import small_batches, table
 from .linear import Features, fit_platt, margins, sigmoid, sparse_rows, train_adagrad, training_sample
 
 #: Bounds of the training sample.
@@ -119,7 +119,7 @@ def judge(docs: DataFrame, model: QualityModel | None, text_col: str = "text", k
                 cols = [pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *cols], schema.names)
 
-    return docs.mapInArrow(tidy(run), schema)
+    return small_batches(docs).mapInArrow(tidy(run), schema)
 
 
 def model_for(docs: DataFrame, labels: DataFrame) -> QualityModel | None:
