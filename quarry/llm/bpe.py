@@ -212,7 +212,8 @@ def worker_coder(json: str) -> ChunkCoder:
 
 
 def encode(docs: DataFrame, tokenizer_json: str, text_col: str = "text") -> DataFrame:
-    """docs with token_ids (little-endian unsigned 32-bit) and decoded."""
+    """docs with token_ids (little-endian unsigned 32-bit) and decoded; columns of those names are replaced."""
+    docs = docs.drop("token_ids", "decoded")
     schema = T.StructType([*docs.schema.fields, T.StructField("token_ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
     at = docs.columns.index(text_col)
 

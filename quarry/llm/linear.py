@@ -80,7 +80,7 @@ def sparse_rows(texts: list[str], features: Features) -> list[tuple[np.ndarray,
         d, f, v = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(d, kind="stable")
         cuts = np.searchsorted(d[order], np.arange(b.n + 1))
-        out += [(f[order[i:j]], v[order[i:j]]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        out += [(f[order[i:j]].astype(np.int32), v[order[i:j]].astype(np.float32)) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
     return out
 
 

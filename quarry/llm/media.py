@@ -165,8 +165,8 @@ def feature(t: dict) -> str:
 
 
 def stored(docs: DataFrame, text_col: str = "text", to: str = "media") -> DataFrame:
-    """docs with a media column in place of the text."""
-    docs = docs.drop(to)
+    """docs with n_bytes and a media column in place of the text; columns of those names are replaced."""
+    docs = docs.drop(to, "n_bytes")
     at = docs.columns.index(text_col)
     schema = T.StructType([*[f for f in docs.schema.fields if f.name != text_col], T.StructField("n_bytes", T.LongType()), T.StructField(to, T.BinaryType())])
 

@@ -70,7 +70,8 @@ def source_targets(sizes: DataFrame, weights=SOURCE_WEIGHTS, max_epochs: int = M
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=SOURCE_WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """docs with mix_size, mix_source_size, mix_target and mix_taken (words taken, repeats counted)."""
+    """docs with mix_size, mix_source_size, mix_target and mix_taken (words taken, repeats counted); columns named mix_* are replaced."""
+    docs = docs.drop(*[c for c in docs.columns if c.startswith("mix_")])
     key = exponential_key(F.col(id_col), quality_weight(F.col(text_col)))
     keyed = written(docs.select(F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), key.alias("key")), "mix-keys")
     sizes = keyed.groupBy("source").agg(F.sum("size").alias("source_size"))
