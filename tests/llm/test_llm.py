@@ -365,6 +365,40 @@ def test_language_model_edges(spark):
     assert got["lm_tokens"] == 3 and got["lm_known"] == 0 and got["lm_base"] == 0.0
 
 
+@pytest.mark.parametrize("size", [200, 1 << 20])
+def test_whole_language_model(spark, monkeypatch, size):
+    """Against interpolated counts of all n-grams; more words than a broadcast trie may have, so a cap would show."""
+    rnd = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(rnd.choices(vocabulary, [1 / (j + 1) for j in range(400)], k=40))) for i in range(80)]
+    rows += [(80 + i, "rare one two three") for i in range(2)] + [(82, None), (83, "never seen rare one two")]
+    monkeypatch.setattr(lm, "VOCABULARY", 50)
+    monkeypatch.setattr(lm, "LEVEL", 50)
+    monkeypatch.setattr(lm, "CHUNK_BYTES", size)
+    got = {r["doc_id"]: r for r in lm.whole_scores(frame(spark, rows, False), F.col("doc_id") < 83).collect()}
+    toks = {k: [*(t or "").split(), None] for k, t in rows}
+    c = [collections.Counter(tuple(t[i : i + k]) for j, t in toks.items() if j < 83 for i in range(len(t) - k + 1)) for k in (1, 2, 3)]
+    n, v = sum(c[0].values()), len(c[0])
+
+    def p(gram):
+        if len(gram) == 1:
+            return (c[0][gram] + 1) / (n + v + 1)
+        k, context = len(gram) - 1, gram[:-1]
+        kept = {g: m for g, m in c[k].items() if m >= 2 and g[:-1] == context}
+        if not c[k - 1][context] or (k == 2 and c[1][context] < 2):
+            return p(gram[1:])
+        weight = min(1, max(1e-6, 1 - sum(m - 0.5 for m in kept.values()) / c[k - 1][context]))
+        return (kept[gram] - 0.5 if gram in kept else 0) / c[k - 1][context] + weight * p(gram[1:])
+
+    assert len(got) == len(rows)
+    for k in (0, 7, 80, 82, 83):
+        want = sum(math.log10(p(tuple(toks[k][max(0, i - 2) : i + 1]))) for i in range(len(toks[k])))
+        assert got[k]["lm_score"] == pytest.approx(want, rel=1e-9) and got[k]["lm_train_tokens"] == n
+    with pytest.raises(ValueError, match="too many"):
+        lm.build(frame(spark, rows, False))
+    assert lm.whole_scores(frame(spark, [], False), F.lit(True)).count() == 0
+
+
 # ---- 9 ------------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
