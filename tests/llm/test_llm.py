@@ -526,3 +526,14 @@ def test_passages_of_texts_that_repeat_themselves():
     assert sd.passages(a, a)[0][:4] == (0, 100, 0, 100)
     assert sd.passages(a, np.array([99, 98, *period * 4], np.uint64))[0][2:4] == (2, 82)
     assert sd.passages(a, np.array(period + [77] * 60, np.uint64)) == [] and sd.passages(a, a[:45]) == []
+
+
+def test_passages_after_a_fragment_and_beside_others():
+    rng = np.random.default_rng(4)
+    new = lambda n: rng.integers(0, 2**63, n).astype(np.uint64)
+    p, q = new(60), new(50)
+    edited = np.concatenate([p[:28], new(5), p[33:]])
+    hub = np.concatenate([new(9), p[20:45], new(30), p, new(20), q])
+    assert [x[:2] for x in sd.passages(hub, np.concatenate([new(7), edited, new(7)]))] == [(64, 124)]
+    hub = np.concatenate([q[5:40], new(30), q, new(20), p])
+    assert {x[:2] for x in sd.passages(hub, np.concatenate([p, new(30), q]))} == {(65, 115), (135, 195)}
