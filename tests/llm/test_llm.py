@@ -537,3 +537,14 @@ def test_passages_after_a_fragment_and_beside_others():
     assert [x[:2] for x in sd.passages(hub, np.concatenate([new(7), edited, new(7)]))] == [(64, 124)]
     hub = np.concatenate([q[5:40], new(30), q, new(20), p])
     assert {x[:2] for x in sd.passages(hub, np.concatenate([p, new(30), q]))} == {(65, 115), (135, 195)}
+
+
+def test_passages_with_a_word_put_in(spark):
+    rnd = random.Random(12)
+    fill = lambda n: ["".join(rnd.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n)]
+    rows = []
+    for i in range(40):
+        p = fill(50)
+        rows += [(2 * i, " ".join(fill(30) + p + fill(30))), (2 * i + 1, " ".join(fill(30) + p[:25] + fill(1) + p[25:] + fill(30)))]
+    found = sd.repeated_passages(frame(spark, rows)).collect()
+    assert {(r["other_id"], r["doc_id"]) for r in found} == {(2 * i, 2 * i + 1) for i in range(40)}
