@@ -14,6 +14,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def fresh(df: DataFrame, name: str, *others: DataFrame) -> str:
+    """A column name that none of the tables has."""
+    taken = {c.lower() for d in (df, *others) for c in d.columns}
+    out = f"_{name}"
+    while out.lower() in taken:
+        out = "_" + out
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
