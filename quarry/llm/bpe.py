@@ -1,22 +1,25 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
-A document is cut at white space where a rolling hash over its last words hits a
-fixed pattern, so equal passages are cut alike wherever they stand.  Every worker
-keeps bounded tables of chunks and of words it has encoded; a chunk that documents
-share is encoded once there, and a new chunk is put together from words, which are
-chunks of their own.  What is in no table goes to the tokenizer in one batch.
-
-Joins are repaired: the words on either side of a cut are encoded together, and if the
-result is not the two encodings in a row, both chunks are merged and encoded anew,
-until every join agrees.  Whether a join agrees depends on the characters at it, so
-each pair of edge characters is verified once a worker.
-
-Nulls count as empty texts, which have no tokens.  Other columns are left alone.
+A document is cut after words where a rolling hash over its last words hits a fixed
+pattern, so equal passages are cut alike wherever they stand; a chunk has the white space
+before its words, so the chunks of a document are its text.  Every worker keeps a bounded
+table of chunks, and a chunk that documents share is encoded once there, as a whole.
+
+Joins are repaired: at each cut the words on both sides, as many as the longest token of the
+tokenizer spans, are encoded together and apart.  Where that differs, the two chunks are
+merged, the merged one is encoded anew as a whole, and the cuts next to it are verified again
+over twice as many words, until all agree.  Words at a cut that were verified are remembered,
+in a bounded table too.
+
+Nulls count as empty texts, which have no tokens.  Very long texts are coded whole, a chunk at a
+time.  Repeated rows give equal results.  Other columns are left alone, those named like the
+result are replaced.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import unicodedata
+import os
+import re
 from collections.abc import Iterator
 from itertools import islice
 
@@ -24,25 +27,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .blocks import blocks, mix, run_sums, tidy, U, words
-from .common import small_batches, table
+from .blocks import Block, blocks, mix, tidy, U, words
+from .common import table
 
-#: A chunk ends after a word where these bits of the rolling hash are 0: about 16 words.
-CUT_MASK = 15
+#: A chunk ends after a word where these bits of the rolling hash are 0: about 32 words.
+CUT_MASK = 31
 #: Words that the rolling hash covers.
 CUT_WORDS = 2
-CACHED_WORDS = 200_000
-CACHED_CHUNKS = 20_000
-#: Texts longer than this between white space are not kept in a table.
-CACHED_BYTES = 256
-#: New words that go to the tokenizer as one line, and lines at a time.
-LINE_WORDS, LINES = 64, 256
+CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 40_000, 60_000, 60_000
+#: Longer chunks and joins are not kept in a table.
+CACHED_BYTES = 1024
+SPACE = re.compile("[\\s\u2581\u0120\u010a]+")
 
 
 class ChunkCoder:
     """Encodes and decodes with a tokenizer of the tokenizers library, given as its JSON."""
 
     def __init__(self, json: str):
+        # A task is one core's work: threads of the library would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(json)
@@ -52,151 +55,103 @@ class ChunkCoder:
         self.token = [""] * (max(vocab.values(), default=-1) + 1)
         for token, i in vocab.items():
             self.token[i] = token
-        self.word_ids: dict[bytes, bytes] = {}
+        #: Words at each side of a cut: as many as a token can reach beyond it.
+        self.reach = max([1, *(len(SPACE.findall(t)) for t in vocab)])
         self.chunks: dict[bytes, bytes] = {}
-        self.agreed: set[tuple[str, str, str]] = set()
+        #: Of words at cuts, alone, and of whether they agree.
+        self.sides: dict[bytes, bytes] = {}
+        self.agreed: dict[tuple[bytes, bytes], bool] = {}
 
-    def direct(self, texts: list[str]) -> list[bytes]:
+    def direct(self, texts: list[bytes]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
 
     def decode(self, ids: bytes) -> str:
-        """As the library's decode() without a decoder: the tokens, joined by blanks."""
+        """As the library's decode() with special tokens: without a decoder the tokens, joined by blanks."""
+        numbers = np.frombuffer(ids, "<u4").tolist()
+        if self.tokenizer.decoder is not None:
+            return self.tokenizer.decode(numbers, skip_special_tokens=False)
         token = self.token
-        return " ".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()])
-
-    def encoded(self, parts: list[bytes]) -> list[bytes]:
-        """Ids of words, from the table or encoded now.
-
-        A full table gives up its younger half: frequent words come early and stay.
-        """
-        missing = [p for p in parts if p not in self.word_ids]
-        if not missing:
-            return [self.word_ids[p] for p in parts]
-        if len(self.word_ids) + len(missing) > CACHED_WORDS:
-            self.word_ids = dict(islice(self.word_ids.items(), CACHED_WORDS // 2))
-            missing = [p for p in parts if p not in self.word_ids]
-        new = self.learn(missing)
-        out = [self.word_ids[p] if p in self.word_ids else new[p] for p in parts]
-        room = CACHED_WORDS - len(self.word_ids)
-        self.word_ids.update(islice(((p, v) for p, v in new.items() if len(p) <= CACHED_BYTES), max(room, 0)))
+        return " ".join([token[i] for i in numbers])
+
+    def encoded(self, parts: list[bytes], table_: dict[bytes, bytes], most: int) -> list[bytes]:
+        """Ids of texts, each encoded as a whole: from a table of at most so many, or encoded now."""
+        known = [table_.get(p) for p in parts]
+        new = list(dict.fromkeys([p for p, ids in zip(parts, known, strict=True) if ids is None]))
+        if not new:
+            return known
+        found = dict(zip(new, self.direct(new), strict=True))
+        out = [found[p] if ids is None else ids for p, ids in zip(parts, known, strict=True)]
+        _keep(table_, ((p, ids) for p, ids in found.items() if len(p) <= CACHED_BYTES), len(found), most)
         return out
 
-    def learn(self, parts: list[bytes]) -> dict[bytes, bytes]:
-        """Encode words that are in no table.
-
-        Printable words in normal form go in lines of many words, which are taken apart at
-        the offsets of their tokens; others go one by one.
-        """
-        out: dict[bytes, bytes] = {}
-        together, alone = [], []
-        for p in parts:
-            t = p.decode("utf-8", "replace")
-            (together if t.isascii() and t.isprintable() or t.isalpha() and unicodedata.is_normalized("NFC", t) else alone).append((p, t))
-        for lo in range(0, len(together), LINE_WORDS * LINES):
-            some = together[lo : lo + LINE_WORDS * LINES]
-            lines = [some[i : i + LINE_WORDS] for i in range(0, len(some), LINE_WORDS)]
-            for line, e in zip(lines, self.tokenizer.encode_batch([" ".join([t for _, t in x]) for x in lines], add_special_tokens=False), strict=True):
-                begins = np.cumsum([0, *[len(t) + 1 for _, t in line[:-1]]])
-                of = np.searchsorted(begins, [x[0] for x in e.offsets], "right")
-                cuts = np.searchsorted(of, np.arange(len(line) + 1), "right").tolist()
-                raw = np.asarray(e.ids, "<u4").tobytes()
-                for k, (p, _) in enumerate(line):
-                    out[p] = raw[4 * cuts[k] : 4 * cuts[k + 1]]
-        out.update(zip([p for p, _ in alone], self.direct([t for _, t in alone]), strict=True))
+    def joins_agree(self, joins: list[tuple[bytes, bytes]]) -> list[bool]:
+        """Are two texts, encoded one after the other, encoded as when they are one?"""
+        known = [self.agreed.get(j) for j in joins]
+        new = list(dict.fromkeys([j for j, k in zip(joins, known, strict=True) if k is None]))
+        if not new:
+            return known
+        left, right = (self.encoded([j[i] for j in new], self.sides, CACHED_SIDES) for i in (0, 1))
+        found = {j: x + y == both for j, x, y, both in zip(new, left, right, self.direct([x + y for x, y in new]), strict=True)}
+        out = [found[j] if k is None else k for j, k in zip(joins, known, strict=True)]
+        _keep(self.agreed, ((j, k) for j, k in found.items() if len(j[0]) + len(j[1]) <= CACHED_BYTES), len(found), CACHED_JOINS)
         return out
 
-    def joins_agree(self, left: bytes, gap: bytes, right: bytes) -> bool:
-        a, g, b = left.decode("utf-8", "replace"), gap.decode(), right.decode("utf-8", "replace")
-        key = (a[-1:], g[:1], b[:1])
-        if key not in self.agreed:
-            apart, whole = self.direct([a, b]), self.direct([a + g + b])[0]
-            if apart[0] + apart[1] != whole:
-                return False
-            self.agreed.add(key)
-        return True
-
     def code(self, column: pa.Array) -> Iterator[tuple[bytes, str]]:
         for b in blocks(column):
             yield from self._block(b)
 
-    def _block(self, b) -> Iterator[tuple[bytes, str]]:
+    def cuts(self, b: Block, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the block where texts are cut, all of whose joins agree, and their documents."""
         h, doc, starts, ends = words(b)
-        data = b.data.tobytes()
         rolling = h.copy()
         for i in range(1, CUT_WORDS):
             rolling[i:] += h[:-i] * U(2 * i + 1)
-        cut = (mix(rolling) & U(CUT_MASK)) == 0
-        last = np.ones(len(doc), bool)
-        last[:-1] = doc[1:] != doc[:-1]
-        cut |= last
-        # Edges met for the first time in this worker are verified; a join that disagrees is no cut.
-        inner = np.flatnonzero(cut & ~last)
-        if len(inner):
-            for i in inner[_first_of_each(b.data, starts, ends, inner)]:
-                if not self.joins_agree(data[starts[i] : ends[i]], data[ends[i] : starts[i + 1]], data[starts[i + 1] : ends[i + 1]]):
-                    cut[inner[_same_edge(b.data, starts, ends, inner, i)]] = False
-        stops = np.flatnonzero(cut)
-        if not len(stops):
-            for _ in range(b.n):
-                yield b"", ""
-            return
-        first = np.concatenate([[0], stops[:-1] + 1])
-        # Equal chunks of the block are looked up once, by the hash of their words.
-        _, one, where = np.unique(run_sums(h, first, stops + 1), return_index=True, return_inverse=True)
-        texts = [data[s:e] for s, e in zip(starts[first[one]].tolist(), ends[stops[one]].tolist(), strict=True)]
-        ids: list[bytes | None] = [self.chunks.get(t) for t in texts]
-        new = [i for i, x in enumerate(ids) if x is None]
-        if new:
-            self._put_together(data, h, starts, ends, first[one[new]], stops[one[new]] + 1, new, ids)
-            if len(self.chunks) + len(new) > CACHED_CHUNKS:
-                self.chunks.clear()
-            self.chunks.update(islice(((texts[i], ids[i]) for i in new if len(texts[i]) <= CACHED_BYTES * CUT_MASK), CACHED_CHUNKS))
-        ordered = [ids[i] for i in where.tolist()]
-        cuts = np.searchsorted(doc[stops], np.arange(b.n + 1)).tolist()
-        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-            raw = b"".join(ordered[i:j])
+        inner = np.zeros(len(doc), bool)
+        inner[:-1] = doc[1:] == doc[:-1]
+        at = np.flatnonzero(inner & ((mix(rolling) & U(CUT_MASK)) == 0))
+        first, last = np.searchsorted(doc, np.arange(b.n)), np.searchsorted(doc, np.arange(b.n), "right") - 1
+        reach, unsure = self.reach, np.arange(len(at))
+        while len(unsure):
+            i = at[unsure]
+            lo, mid, hi = starts[np.maximum(i - reach + 1, first[doc[i]])], ends[i], ends[np.minimum(i + reach, last[doc[i]])]
+            good = np.array(self.joins_agree([(data[x:y], data[y:z]) for x, y, z in zip(lo.tolist(), mid.tolist(), hi.tolist(), strict=True)]), bool)
+            bad = unsure[~good]
+            if not len(bad):
+                break
+            # The cuts that stay next to those that go.
+            kept = np.ones(len(at), bool)
+            kept[bad] = False
+            number = np.cumsum(kept) - 1
+            beside = np.unique(np.concatenate([number[bad], number[bad] + 1]))
+            at = at[kept]
+            unsure = beside[(beside >= 0) & (beside < len(at))]
+            reach *= 2
+        return ends[at], doc[at]
+
+    def _block(self, b: Block) -> Iterator[tuple[bytes, str]]:
+        data = b.data.tobytes()
+        at, doc = self.cuts(b, data)
+        n = 1 + np.bincount(doc, minlength=b.n)
+        begin = np.cumsum(n) - n  # of each document's chunks
+        starts = np.empty(len(at) + b.n, np.int64)
+        is_first = np.zeros(len(starts), bool)
+        is_first[begin] = True
+        starts[is_first], starts[~is_first] = b.offsets[:-1], at
+        stops = np.append(starts[1:], b.offsets[-1])
+        ids = self.encoded([data[s:e] for s, e in zip(starts.tolist(), stops.tolist(), strict=True)], self.chunks, CACHED_CHUNKS)
+        for i, k in zip(begin.tolist(), n.tolist(), strict=True):
+            raw = b"".join(ids[i : i + k])
             yield raw, self.decode(raw)
 
-    def _put_together(self, data: bytes, h, starts, ends, lo, hi, new: list[int], ids: list[bytes | None]) -> None:
-        """Ids of chunks lo..hi (word numbers) from those of their words."""
-        length = hi - lo
-        at = np.repeat(lo - np.cumsum(length) + length, length) + np.arange(length.sum())
-        _, one, where = np.unique(h[at], return_index=True, return_inverse=True)
-        one = at[one]
-        got = self.encoded([data[s:e] for s, e in zip(starts[one].tolist(), ends[one].tolist(), strict=True)])
-        pool = np.frombuffer(b"".join(got), "<u4")
-        n = np.fromiter(map(len, got), np.int64, len(got)) // 4
-        begin = np.cumsum(n) - n
-        each = n[where]
-        total = np.concatenate([[0], np.cumsum(each)])
-        raw = pool[np.repeat(begin[where] - total[:-1], each) + np.arange(total[-1])].tobytes()
-        bounds = (4 * total[np.concatenate([[0], np.cumsum(length)])]).tolist()
-        for i, s, e in zip(new, bounds[:-1], bounds[1:], strict=True):
-            ids[i] = raw[s:e]
-
-
-def _edges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The last four bytes before each cut, the first byte of the gap, the first four after it, hashed."""
-    n = len(data)
-    h = data[ends[at]].astype(U)
-    for k in range(1, 5):
-        before, after = ends[at] - k, starts[at + 1] + k - 1
-        h = h * U(257) + np.where(before >= starts[at], data[np.maximum(before, 0)], 0).astype(U)
-        h = h * U(257) + np.where(after < ends[at + 1], data[np.minimum(after, n - 1)], 0).astype(U)
-    # Edges that end in ASCII depend on one byte only.
-    ascii_ = (data[ends[at] - 1] < 128) & (data[starts[at + 1]] < 128)
-    short = (data[ends[at] - 1].astype(U) << U(16)) | (data[ends[at]].astype(U) << U(8)) | data[starts[at + 1]].astype(U)
-    return np.where(ascii_, short, mix(h) | U(1 << 63))
-
-
-def _first_of_each(data, starts, ends, at) -> np.ndarray:
-    return np.unique(_edges(data, starts, ends, at), return_index=True)[1]
-
-
-def _same_edge(data, starts, ends, at, i) -> np.ndarray:
-    e = _edges(data, starts, ends, at)
-    return np.flatnonzero(e == e[np.flatnonzero(at == i)[0]])
+
+def _keep(table_: dict, items: Iterator[tuple], n: int, most: int) -> None:
+    """Put items into a table of bounded size; frequent ones come early and stay when the younger half goes."""
+    if len(table_) + n > most:
+        old = list(islice(table_.items(), most // 2))
+        table_.clear()
+        table_.update(old)
+    table_.update(islice(items, max(most - len(table_), 0)))
 
 
 _coders: dict[int, ChunkCoder] = {}
@@ -227,7 +182,7 @@ def encode(docs: DataFrame, tokenizer_json: str, text_col: str = "text") -> Data
                 cols = [*part.columns, pa.array([c[0] for c in coded], pa.binary()), pa.array([c[1] for c in coded], pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, [*part.schema.names, "token_ids", "decoded"])
 
-    return small_batches(docs).mapInArrow(tidy(run), schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def decode(coded: DataFrame, tokenizer_json: str, ids_col: str = "token_ids", to: str = "decoded") -> DataFrame:
@@ -244,7 +199,7 @@ def decode(coded: DataFrame, tokenizer_json: str, ids_col: str = "token_ids", to
             cols = [c for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != to]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(texts, pa.string())], schema.names)
 
-    return small_batches(coded).mapInArrow(tidy(run), schema)
+    return coded.mapInArrow(tidy(run), schema)
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:

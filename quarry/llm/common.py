@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 #: Java regex of a word: a run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Paths of written tables that are there, by application.
+_tables: dict[str, set[str]] = {}
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -23,6 +26,14 @@ def fresh(df: DataFrame, name: str, *others: DataFrame) -> str:
     return out
 
 
+def fresh_prefix(df: DataFrame, prefix: str) -> str:
+    """A beginning that no column name of df has."""
+    out = f"_{prefix}"
+    while any(c.lower().startswith(out.lower()) for c in df.columns):
+        out = "_" + out
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,10 +41,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where the session names none (tests, a single machine) is one made here.
+    Only on a single machine, where the session names none, is one made here; on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quarry-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -58,6 +71,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    _tables.setdefault(spark.sparkContext.applicationId, set()).add(path)
     with _dropping_shuffles(spark):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -72,25 +86,42 @@ BROADCAST_ROWS = 1_000_000
 def small_side(df: DataFrame, name: str) -> DataFrame:
     """df written as a table, with a broadcast hint if its row count, which is checked, allows."""
     out = written(df, name)
-    return F.broadcast(out) if out.count() <= BROADCAST_ROWS else out
+    if out.count() > BROADCAST_ROWS:
+        return out
+    small = F.broadcast(out)
+    small._quarry_path = out._quarry_path
+    return small
+
+
+#: Bounds of an Arrow batch where rows hold texts: Spark's default of 10 000 rows buffers some 100 MB a task.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Lower the session's bounds on Arrow batches to those of BATCH.
+
+    Queries and pipeline stages call this; whoever calls operators directly sets what suits the session.
+    """
+    for key, most in BATCH.items():
+        now = str(spark.conf.get(key, "-1")).lower()
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
-#: Rows of an Arrow batch, at most, where rows hold texts: Spark's default of 10 000 buffers some 100 MB a task.
-BATCH_ROWS = 2000
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def drop_path(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """df, after the session's bound on rows of an Arrow batch was lowered to BATCH_ROWS if it was higher."""
-    now = int(df.sparkSession.conf.get(_BATCH, "10000"))
-    if now <= 0 or now > BATCH_ROWS:
-        df.sparkSession.conf.set(_BATCH, str(BATCH_ROWS))
-    return df
+def clean_up(spark: SparkSession) -> None:
+    """Delete every table that written() has made in this session; nothing that reads one may run afterwards."""
+    for path in _tables.pop(spark.sparkContext.applicationId, []):
+        drop_path(spark, path)
 
 
 def drop_written(df: DataFrame) -> None:
     """Delete a table made by written() that nothing reads any more."""
     spark, path = df.sparkSession, getattr(df, "_quarry_path", None)
     if path:
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        _tables.get(spark.sparkContext.applicationId, set()).discard(path)
+        drop_path(spark, path)

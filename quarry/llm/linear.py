@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .blocks import U, Block, blocks, grams, words
+from .blocks import Block, blocks, grams, mix, tidy, U, words
 
 #: What a family's mean weight is multiplied by.
 SCALE = 16.0
@@ -21,6 +21,10 @@ SCALE = 16.0
 END, SAME_TWICE = 0, 1
 
 
+#: Features of a training text, at most.
+ROW_FEATURES = 1 << 14
+
+
 @dataclass(frozen=True)
 class Features:
     """word_bits and char_bits: sizes of the hashed spaces as powers of 2; no char_sizes: words only."""
@@ -67,10 +71,10 @@ def margins(b: Block, features: Features, weights: np.ndarray, bias: float, word
     return z
 
 
-def sparse_rows(texts: list[str], features: Features) -> list[tuple[np.ndarray, np.ndarray]]:
+def sparse_rows(texts: list[str] | pa.Array, features: Features) -> list[tuple[np.ndarray, np.ndarray]]:
     """Distinct features and their values, by text."""
     out = []
-    for b in blocks(pa.array(texts, pa.large_string())):
+    for b in blocks(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts):
         parts = []
         for doc, f in features.families(b):
             n = np.bincount(doc, minlength=b.n)
@@ -78,9 +82,11 @@ def sparse_rows(texts: list[str], features: Features) -> list[tuple[np.ndarray,
             d = key // features.size
             parts.append((d, key % features.size, SCALE * c / n[d]))
         d, f, v = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(d, kind="stable")
-        cuts = np.searchsorted(d[order], np.arange(b.n + 1))
-        out += [(f[order[i:j]].astype(np.int32), v[order[i:j]].astype(np.float32)) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        # The end of a text is in every family.
+        key, where = np.unique(d * features.size + f, return_inverse=True)
+        d, f, v = key // features.size, (key % features.size).astype(np.int32), np.bincount(where, v).astype(np.float32)
+        cuts = np.searchsorted(d, np.arange(b.n + 1))
+        out += [(f[i:j], v[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
     return out
 
 
@@ -154,16 +160,32 @@ def fit_platt(z: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, fl
     return (float(a), float(c)) if a > 0 and np.isfinite([a, c]).all() else (1.0, 0.0)
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: int, max_bytes: int, keep=None) -> tuple[list[str], np.ndarray]:
-    """At most max_rows labelled texts of at most max_bytes, by a hash of the id: (texts, labels).
+def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, features: Features, max_rows: int, keep=None) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """(features and values, labels) of at most max_rows labelled texts, whole ones, chosen by a hash of the id.
 
-    keep: a condition on doc_id.  The ids are broadcast; their number is bounded by max_rows.
+    keep: a condition on doc_id.  The ids are broadcast; their number is bounded by max_rows.  Features are
+    computed where the texts are, so what comes to the driver has nothing to do with the length of a text:
+    of one with more than ROW_FEATURES distinct ones those are taken whose number hashes lowest.
     """
     ids = labels.filter(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
     if keep is not None:
         ids = ids.filter(keep)
-    ids = ids.groupBy("doc_id").agg(F.max(label_col).alias("_y")).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(max_rows)
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes))
-    found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("_y").alias("_y"))
-    rows = sorted(found.collect())
-    return [r["text"] for r in rows], np.array([float(r["_y"]) for r in rows])
+    ids = ids.groupBy("doc_id").agg(F.max(label_col).alias("y")).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(max_rows)
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
+    found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(batch.num_rows):
+                part = batch.slice(lo, 1)
+                ((f, v),) = sparse_rows(part.column(1), features)
+                if len(f) > ROW_FEATURES:
+                    some = np.sort(np.argsort(mix(f.astype(U)))[:ROW_FEATURES])
+                    f, v = f[some], v[some]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([f.tobytes()], pa.binary()), pa.array([v.tobytes()], pa.binary())], ["doc_id", "y", "f", "v"])
+
+    rows = found.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.col("y").cast("double").alias("y"))
+    got = rows.mapInArrow(tidy(run), "doc_id string, y double, f binary, v binary").toArrow()
+    order = np.argsort(np.array(got.column("doc_id").to_pylist(), object), kind="stable") if len(got) else np.zeros(0, int)
+    f, v, y = (got.column(c) for c in ("f", "v", "y"))
+    return [(np.frombuffer(f[i].as_py(), np.int32), np.frombuffer(v[i].as_py(), np.float32)) for i in order.tolist()], np.array([y[i].as_py() for i in order.tolist()])

@@ -11,8 +11,10 @@ ordered.  The outcome is one key threshold per source, so the decision on a docu
 is a projection: texts are never shuffled.
 
 Nulls: a null text has size 0; a null source is a source of its own, last in order; a
-null id draws its key from the word "null".  Rows that repeat an id share its key and
-are taken together.  An empty table gives an empty result.
+null id draws its key from the word "null".  Rows that repeat an id, and others whose keys
+tie, are taken together.  Empty texts have size 0 and are not taken; a very long text is taken
+or not as a whole.  An empty table gives an empty result.  Extra columns are kept, whatever
+their names; those named like the result are replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window as W
 
-from .common import WORD, table, written
+from .common import drop_written, fresh_prefix, table, written, WORD
 
 SOURCE_WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -69,9 +71,11 @@ def source_targets(sizes: DataFrame, weights=SOURCE_WEIGHTS, max_epochs: int = M
     )
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=SOURCE_WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """docs with mix_size, mix_source_size, mix_target and mix_taken (words taken, repeats counted); columns named mix_* are replaced."""
-    docs = docs.drop(*[c for c in docs.columns if c.startswith("mix_")])
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=SOURCE_WEIGHTS, max_epochs: int = MAX_EPOCHS, prefix: str = "mix_") -> DataFrame:
+    """docs with size, source_size, target and taken (words taken, repeats counted), named after the prefix; columns of those names are replaced."""
+    size_col, source_size_col, target_col, taken_col = (prefix + c for c in ("size", "source_size", "target", "taken"))
+    docs = docs.drop(size_col, source_size_col, target_col, taken_col)
+    own = fresh_prefix(docs, "plan_")
     key = exponential_key(F.col(id_col), quality_weight(F.col(text_col)))
     keyed = written(docs.select(F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), key.alias("key")), "mix-keys")
     sizes = keyed.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -95,33 +99,37 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .select(F.col("source").alias("e_source"), "e.*")
     )
     inside = W.partitionBy("source").orderBy("key")
-    thresholds = written(
+    thresholds = (
         ranged.join(small(ends.withColumnRenamed("bucket", "e_bucket")), F.col("source").eqNullSafe(F.col("e_source")) & (F.col("bucket") == F.col("e_bucket")))
         .groupBy("source", "key", "before", "budget").agg(F.sum("size").alias("n"))
         .withColumn("mid", F.col("before") + F.sum("n").over(inside) - F.col("n") / 2.0)
         .groupBy("source")
         .agg(F.max(F.when(F.col("mid") <= F.col("budget"), F.col("key"))).alias("last_key"), F.min("key").alias("first_key"))
-        .select(F.col("source").alias("k_source"), "last_key", "first_key"),
-        "mix-thresholds",
+        .select(F.col("source").alias("k_source"), "last_key", "first_key")
     )
-    plan = targets.join(thresholds, F.col("source").eqNullSafe(F.col("k_source")), "left").select(
-        F.col("source").alias("mix_source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), "epochs",
-        F.coalesce("last_key", "first_key").alias("mix_end"), F.col("last_key").isNotNull().alias("mix_closed"), "budget",
-    )
-    chosen = (F.col("budget") > 0) & ((F.col("mix_key") < F.col("mix_end")) | (F.col("mix_closed") & (F.col("mix_key") == F.col("mix_end"))))
+    at = lambda c: F.col(own + c)
+    plan = written(targets.join(thresholds, F.col("source").eqNullSafe(F.col("k_source")), "left").select(
+        F.col("source").alias(own + "source"), F.col("source_size").alias(source_size_col), F.col("target").alias(target_col), F.col("epochs").alias(own + "epochs"),
+        F.coalesce("last_key", "first_key").alias(own + "end"), F.col("last_key").isNotNull().alias(own + "closed"), F.col("budget").alias(own + "budget"),
+    ), "mix-plan")
+    drop_written(keyed)
+    drop_written(targets)
+    chosen = (at("budget") > 0) & ((at("key") < at("end")) | (at("closed") & (at("key") == at("end"))))
     return (
-        docs.withColumn("mix_size", n_words(F.col(text_col)))
-        .withColumn("mix_key", key)
-        .join(small(plan), F.col(source_col).eqNullSafe(F.col("mix_source")))
-        .withColumn("mix_taken", (F.col("mix_size") * (F.col("epochs") + F.when(chosen, 1).otherwise(0))).cast("long"))
-        .drop("mix_key", "mix_source", "epochs", "mix_end", "mix_closed", "budget")
+        docs.withColumn(size_col, n_words(F.col(text_col)))
+        .withColumn(own + "key", key)
+        .join(small(plan), F.col(source_col).eqNullSafe(at("source")))
+        .withColumn(taken_col, (F.col(size_col) * (at("epochs") + F.when(chosen, 1).otherwise(0))).cast("long"))
+        .drop(*[own + c for c in ("key", "source", "epochs", "end", "closed", "budget")])
     )
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as many times as it is taken, with the columns of docs."""
-    times = F.when(F.col("mix_size") > 0, F.col("mix_taken") / F.col("mix_size")).otherwise(0).cast("int")
-    return mix(docs, **options).withColumn("mix_times", times).filter("mix_times > 0").withColumn("mix_time", F.explode(F.sequence(F.lit(1), F.col("mix_times")))).select(*docs.columns)
+    own = fresh_prefix(docs, "mix_")
+    size, taken, times = F.col(own + "size"), F.col(own + "taken"), F.col(own + "times")
+    mixed = mix(docs, prefix=own, **options).withColumn(own + "times", F.when(size > 0, taken / size).otherwise(0).cast("int"))
+    return mixed.filter(times > 0).withColumn(own + "time", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

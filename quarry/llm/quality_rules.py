@@ -7,7 +7,11 @@ fixed by the feature space, go to executors with the code; texts are scored a bl
 an Arrow batch at a time and compared with a fixed threshold.
 
 Nulls count as empty texts, which fail the base rules.  Without labelled rows of both
-classes the classifier passes everything.  Every input row gives one output row.
+classes the classifier passes everything.  Every input row gives one output row: repeated
+rows are judged each, very long texts as a whole.  A null or repeated id bears on training
+only, where a null id has no label and of texts with one id the least stands for it; a label
+that is repeated counts as its largest value.  Extra columns are kept; those named like the
+result are replaced, unless a prefix sets them apart.
 """
 
 from __future__ import annotations
@@ -20,12 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .blocks import Block, blocks, counts, grams, IS_SPACE, mix, run_hashes, spans, tidy, words
-from .common import small_batches, table
-from .linear import Features, fit_platt, margins, sigmoid, sparse_rows, train_adagrad, training_sample
+from .common import table
+from .linear import Features, fit_platt, margins, sigmoid, sparse_rows, train_adagrad, training_rows
 
-#: Bounds of the training sample.
+#: Bound of the training sample, in labelled rows.
 MAX_TRAINING_ROWS = 4000
-MAX_TRAINING_BYTES = 1 << 16
 FEATURES = Features(word_sizes=(1, 2), char_sizes=(3, 4))
 #: A text is kept if the calibrated probability of good quality is at least this.
 KEEP_AT = 0.3
@@ -49,10 +52,13 @@ class QualityModel:
 
 
 def train(texts: list[str], y: np.ndarray) -> QualityModel | None:
+    return fit(sparse_rows(texts, FEATURES) if texts else [], y)
+
+
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> QualityModel | None:
     """None where a class is absent."""
     if len(set(y.tolist())) < 2:
         return None
-    rows = sparse_rows(texts, FEATURES)
     held = np.arange(len(rows)) % 5 == 0
     w, bias = train_adagrad([r for r, h in zip(rows, held, strict=True) if not h], y[~held], FEATURES.size)
     z = np.array([bias + w[f] @ v for (f, v), h in zip(rows, held, strict=True) if h])
@@ -100,10 +106,10 @@ RULES = T.StructType(
 )
 
 
-def judge(docs: DataFrame, model: QualityModel | None, text_col: str = "text", keep_at: float = KEEP_AT) -> DataFrame:
-    """docs with the columns of RULES; columns of those names that docs has are replaced."""
-    docs = docs.drop(*RULES.names)
-    schema = T.StructType([*docs.schema.fields, *RULES.fields])
+def judge(docs: DataFrame, model: QualityModel | None, text_col: str = "text", keep_at: float = KEEP_AT, prefix: str = "") -> DataFrame:
+    """docs with the columns of RULES, their names after the prefix; columns of those names that docs has are replaced."""
+    docs = docs.drop(*[prefix + n for n in RULES.names])
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(prefix + f.name, f.dataType) for f in RULES.fields]])
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,11 +125,11 @@ def judge(docs: DataFrame, model: QualityModel | None, text_col: str = "text", k
                 cols = [pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *cols], schema.names)
 
-    return small_batches(docs).mapInArrow(tidy(run), schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def model_for(docs: DataFrame, labels: DataFrame) -> QualityModel | None:
-    return train(*training_sample(docs, labels, "quality", MAX_TRAINING_ROWS, MAX_TRAINING_BYTES))
+    return fit(*training_rows(docs, labels, "quality", FEATURES, MAX_TRAINING_ROWS))
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

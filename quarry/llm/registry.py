@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op6_bpe
+from .common import prepare
 from .jaccard_join import OP2_SQL, op2_jaccard_join
 from .language_model import op8_language_model
 from .media import op5_media
@@ -17,7 +19,20 @@ from .secrets import OP9_SQL, op9_secret_scans
 from .substring_dedup import op7_substring_dedup
 from .warc import OP4_SQL, op4_warc
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+
+
+def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """query, in a session whose Arrow batches are bounded."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_quality_classifier": op3_quality_classifier,
@@ -29,5 +44,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scans": op9_secret_scans,
     "op10_mixing": op10_mixing,
 }
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _prepared(f) for name, f in _QUERIES.items()}
 
 SQL: dict[str, str] = {"op2_jaccard_join": OP2_SQL, "op4_warc": OP4_SQL, "op9_secret_scans": OP9_SQL, "op10_mixing": OP10_SQL}

@@ -1,81 +1,150 @@
 """WARC archives with revisit records.
 
 Headers (id, length, payload digest) are shuffled, payloads are not: of equal payloads
-of at least ``REVISIT_FROM`` bytes the record with the largest id is the response and the
-others become revisits that refer to it.  Archives are written with fresh headers by
-Spark's text writer, whose record separator is the blank lines that end a WARC record,
-so they land in any file system Spark writes to, under its commit protocol, gzipped.
-They are read back as whole files, which the writer bounds, and parsed by Content-Length:
-payloads may hold anything, the separator included.
-
-A payload is the UTF-8 of the html (null: empty); a null url is left out of the header; a
-null id is left out of WARC-Record-ID's name and never refers or is referred to.  Rows
-that repeat an id and a payload are written each; one of them is the response.
+of at least ``REVISIT_FROM`` bytes one record with the largest id is the response and the
+others become revisits that refer to it by its record id.  Records get fresh headers, a
+record id of their own and a gzip member each; a task packs them into archives of about
+``ARCHIVE_BYTES``, so neither a file nor what is read of it at once grows with the input.
+Spark's text writer stores one archive a file under its commit protocol, in any file system
+that Spark writes to.  It wants a separator after each row, which is a gzip member without
+content here, so a file is gzip from end to end (its name ends in .txt, which the writer sets).
+Archives are read back as files and parsed by Content-Length: payloads may hold anything.
+
+A payload is the UTF-8 of the html (null: empty).  A null url is left out of the header, and a
+null id too: such a row revisits the largest id with its payload, and if no row of that payload
+has an id they are all responses.  Where rows repeat the largest id of a payload, one of them is
+the response and the others revisit it.  Other columns are not stored, whatever their names.  An
+empty table gives an archive without records.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .blocks import tidy
-from .common import new_path, table, written
+from .common import drop_path, drop_written, new_path, small_side, table, written
 
 REVISIT_FROM = 1000
-#: Records in an archive, at most.
-FILE_RECORDS = 20_000
+#: Compressed bytes after which an archive ends; a larger record is an archive of its own.
+ARCHIVE_BYTES = 32 << 20
 CRLF = "\r\n"
 # Fixed values of the format.
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
+#: A gzip member without content.
+EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 
 
-def resolved(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html") -> DataFrame:
-    """(id, refers_to) of the rows that revisit another's payload."""
+def heads(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
+    """(id, url, n, digest, payload) of each page."""
     payload = F.coalesce(F.col(payload_col), F.lit(""))
-    heads = pages.select(F.col(id_col).alias("id"), F.octet_length(payload).alias("n"), F.sha1(payload.cast("binary")).alias("digest"))
-    heads = written(heads.filter((F.col("n") >= REVISIT_FROM) & F.col("id").isNotNull()), "warc-heads")
-    originals = heads.groupBy("digest", "n").agg(F.max("id").alias("refers_to"), F.count("*").alias("copies")).filter("copies > 1").drop("copies")
-    # Each digest's group of headers may be hot; the join is one that Spark splits by skew.
-    return heads.join(originals, ["digest", "n"]).filter("id != refers_to").select("id", "refers_to").distinct()
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
+    return rows.withColumn("n", F.octet_length("payload")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
 
 
-def _header(pairs) -> F.Column:
+def resolved(headers: DataFrame) -> DataFrame:
+    """(digest, n, refers_to, rows) of payloads that more than one record has: the largest id, and how many have it."""
+    by_id = headers.filter(F.col("n") >= REVISIT_FROM).groupBy("digest", "n", "id").agg(F.count("*").alias("rows"))
+    groups = by_id.groupBy("digest", "n").agg(F.max("id").alias("refers_to"), F.max_by("rows", "id").alias("rows"), F.sum("rows").alias("copies"))
+    return groups.filter("copies > 1 and refers_to is not null").drop("copies")
+
+
+def _header(pairs) -> Column:
     """Lines of name and value; pairs whose value is null are left out."""
     lines = [F.concat(F.lit(f"{name}: "), value) for name, value in pairs]
     return F.concat(F.concat_ws(CRLF, F.lit(VERSION), *lines), F.lit(END))
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """Archives, as text that isn't text, of (header, payload)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        size = 0
+
+        def archive():
+            nonlocal size
+            blob = b"".join(held)
+            held.clear()
+            size = 0
+            return pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["value"])
+
+        for batch in batches:
+            for header, payload in zip(batch.column(0), batch.column(1), strict=True):
+                z = zlib.compressobj(wbits=31)
+                member = z.compress(header.as_buffer()) + z.compress(payload.as_buffer()) + z.compress(END.encode()) + z.flush()
+                held.append(member)
+                size += len(member)
+                if size >= ARCHIVE_BYTES:
+                    yield archive()
+        if held:
+            yield archive()
+
+    return rows.mapInArrow(tidy(run), "value binary").select(F.col("value").cast("string").alias("value"))
+
+
+def _records(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> tuple[DataFrame, list[DataFrame]]:
+    """(id, url, payload, n, digest, refers_to, response_of) of all records to write, and the tables that were written for them."""
+    rows = heads(pages, id_col, url_col, payload_col)
+    # Written, so that the number of a row stays the same.
+    headers = written(rows.filter(F.col("n") >= REVISIT_FROM).drop("payload").withColumn("row", F.monotonically_increasing_id()), "warc-heads")
+    groups = small_side(resolved(headers), "warc-groups")
+    joined = rows.join(groups, ["digest", "n"], "left")
+    largest = F.coalesce(F.col("id") == F.col("refers_to"), F.lit(False))
+    response = F.col("refers_to").isNull() | largest
+    columns = lambda df: df.select("id", "url", "payload", "n", "digest", "refers_to", "response_of")
+    as_revisit = {"payload": F.lit(""), "response_of": F.lit(None).cast("string")}
+    digest_of = F.when(largest, F.col("digest"))
+    out = joined.withColumn("response_of", digest_of).withColumn("payload", F.when(response, F.col("payload")).otherwise(F.lit("")))
+    out = out.withColumn("refers_to", F.when(~response, F.col("refers_to")))
+    if not groups.filter("rows > 1").limit(1).count():
+        return columns(out), [headers, groups]
+    # The largest id of a payload stands in several rows: their headers tell which is the response, whose
+    # payload is that of any of them.
+    repeated = largest & (F.col("rows") > 1)
+    out = joined.select("*", repeated.alias("again")).filter("not again").drop("again")
+    out = out.withColumn("response_of", digest_of).withColumn("payload", F.when(response, F.col("payload")).otherwise(F.lit(""))).withColumn("refers_to", F.when(~response, F.col("refers_to")))
+    again = headers.join(groups, ["digest", "n"]).filter(repeated)
+    chosen = again.groupBy("digest", "n", "id").agg(F.min("row").alias("row"), F.min_by("url", "row").alias("url"))
+    others = again.join(chosen.select("digest", "n", F.col("row").alias("first")), ["digest", "n"]).filter("row != first").withColumns(as_revisit)
+    payloads = joined.filter(repeated).groupBy("digest", "n").agg(F.first("payload").alias("payload"))
+    first = chosen.join(payloads, ["digest", "n"]).withColumn("response_of", F.col("digest")).withColumn("refers_to", F.lit(None).cast("long"))
+    return columns(out).union(columns(others)).union(columns(first)), [headers, groups]
+
+
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
-    revisits = resolved(pages, id_col, payload_col).withColumnRenamed("id", "_id")
-    payload = F.coalesce(F.col(payload_col), F.lit(""))
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("n", F.octet_length("payload")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
-    rows = rows.join(revisits, F.col("id") == F.col("_id"), "left")
+    rows, scratch = _records(pages, id_col, url_col, payload_col)
     revisit = F.col("refers_to").isNotNull()
-    urn = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
+    # The record that others refer to has an id that follows from its page and payload; all others have random ones.
+    named = lambda page, digest: F.concat(F.lit("<urn:page:"), page.cast("string"), F.lit(":"), digest, F.lit(">"))
     one_line = F.regexp_replace("url", r"[\r\n]+", " ")
     header = _header(
         [
             ("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-            ("WARC-Record-ID", F.coalesce(urn(F.col("id")), F.lit("<urn:page:>"))),
+            ("WARC-Record-ID", F.coalesce(named(F.col("id"), F.col("response_of")), F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")))),
             ("WARC-Date", F.lit(DATE)),
             ("WARC-Target-URI", one_line),
             ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
             ("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
-            ("WARC-Refers-To", urn(F.col("refers_to"))),
+            ("WARC-Refers-To", named(F.col("refers_to"), F.col("digest"))),
+            ("Page-ID", F.col("id").cast("string")),
             ("Content-Type", F.lit("text/html; charset=utf-8")),
             ("Content-Length", F.when(revisit, 0).otherwise(F.col("n")).cast("string")),
         ]
     )
-    record = F.concat(header, F.when(revisit, F.lit("")).otherwise(F.col("payload")))
-    rows.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    archives = _packed(rows.select(header.alias("header"), "payload"))
+    separator = EMPTY_MEMBER.decode("latin-1")
+    archives.write.option("encoding", "ISO-8859-1").option("lineSep", separator).option("maxRecordsPerFile", 1).text(path)
+    for df in scratch:
+        drop_written(df)
 
 
 def records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -131,50 +200,59 @@ def gunzipped(data: bytes, piece: int = 1 << 14) -> Iterator[bytes]:
         at -= len(d.unused_data)
 
 
-def _number(urn: str | None) -> int | None:
-    digits = (urn or "").removeprefix("<urn:page:").removesuffix(">")
-    return int(digits) if digits else None
+FIELDS = {
+    "record_id": pa.string(), "page_id": pa.int64(), "record_type": pa.string(), "refers_to": pa.string(), "url": pa.string(), "header_digest": pa.string(), "stored_bytes": pa.int64(), "stored_digest": pa.string(),
+}
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """A row per record: page_id, type, refers_to, url, length and digest as stored, and those of the payload read."""
+    """A row per record: ids of it and of the record it refers to, page_id, type, url, length and digest as stored, and those of the payload read."""
+
+    def row(h: dict[str, str], payload: bytes) -> tuple:
+        page = h.get("Page-ID")
+        digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
+        return h["WARC-Record-ID"], int(page) if page else None, h["WARC-Type"], h.get("WARC-Refers-To"), h.get("WARC-Target-URI"), digest, len(payload), hashlib.sha1(payload).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                rows = []
+                rows: list[tuple] = []
                 for h, payload in records(gunzipped(content.as_buffer())):
-                    rows.append((_number(h["WARC-Record-ID"]), h["WARC-Type"], _number(h.get("WARC-Refers-To")), h.get("WARC-Target-URI"), h["WARC-Payload-Digest"].removeprefix("sha1:"), len(payload), hashlib.sha1(payload).hexdigest()))
+                    rows.append(row(h, payload))
+                    if len(rows) == 10_000:
+                        yield as_batch(rows)
+                        rows = []
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), TYPES, strict=True)], NAMES)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(tidy(run), "page_id long, record_type string, refers_to long, url string, header_digest string, stored_bytes long, stored_digest string")
+                    yield as_batch(rows)
 
+    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), FIELDS.values(), strict=True)], list(FIELDS))
 
-NAMES = ["page_id", "record_type", "refers_to", "url", "header_digest", "stored_bytes", "stored_digest"]
-TYPES = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    return files.mapInArrow(tidy(run), ", ".join(f"{name} {'long' if t == pa.int64() else 'string'}" for name, t in FIELDS.items()))
 
 
 def followed(archive: DataFrame) -> DataFrame:
     """archive with payload_bytes and payload_digest of the full payload: a revisit's are those of the record it refers to."""
     revisit = archive.filter("record_type = 'revisit'")
     whole = archive.filter("record_type = 'response'").withColumn("payload_bytes", F.col("stored_bytes")).withColumn("payload_digest", F.col("stored_digest"))
-    target = whole.filter("page_id is not null").groupBy(F.col("page_id").alias("t_id"), F.col("header_digest").alias("t_digest")).agg(F.max("stored_bytes").alias("payload_bytes"), F.max("stored_digest").alias("payload_digest"))
-    return whole.unionByName(revisit.join(target, (F.col("refers_to") == F.col("t_id")) & (F.col("header_digest") == F.col("t_digest")), "left").drop("t_id", "t_digest"))
+    target = whole.filter("record_id like '<urn:page:%'").select(F.col("record_id").alias("target"), "payload_bytes", "payload_digest")
+    return whole.unionByName(revisit.join(target, F.col("refers_to") == F.col("target"), "left").drop("target"))
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
     archive = written(read_archives(spark, path), "warc-records")
-    return followed(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    drop_path(spark, path)
+    refers_to = F.regexp_extract("refers_to", "^<urn:page:(-?[0-9]+):", 1)
+    return followed(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", F.when(F.col("refers_to").isNotNull(), refers_to.cast("long")).alias("refers_to"))
 
 
 OP4_SQL = """
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
-       CASE WHEN n >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN n >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
-FROM (SELECT page_id, n, digest, max(page_id) OVER (PARTITION BY digest, n) AS last_id
+       CASE WHEN n >= 1000 AND last_id IS NOT NULL AND nth > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND nth > 1 THEN last_id END AS refers_to
+FROM (SELECT page_id, n, digest, max(page_id) OVER (PARTITION BY digest, n) AS last_id, row_number() OVER (PARTITION BY digest, n ORDER BY page_id DESC NULLS LAST) AS nth
       FROM (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages))
 """

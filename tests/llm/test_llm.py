@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.llm.common import new_path
 from quarry.llm import blocks as bl, bpe, jaccard_join as jj, language_model as lm, linear, media, mixing, quality_classifier as qc, quality_rules as qr, registry, secrets, substring_dedup as sd, warc
 
 WORD = re.compile("[^ \t\n\x0b\x0c\r]+")
@@ -103,9 +104,23 @@ def test_quality_edges(spark):
 def test_labels_of_the_held_out_are_not_read(spark):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id long, text string")
     labels = docs.select("doc_id", F.lit(1).alias("quality"))
-    texts, _ = linear.training_sample(docs, labels, "quality", 1000, 1 << 16, ~qc.held_out(F.col("doc_id")))
-    assert sorted(texts) == sorted(f"text {i}" for i in range(200) if zlib.crc32(str(i).encode()) % 5)
-    assert len(linear.training_sample(docs, labels, "quality", 10, 1 << 16)[0]) == 10
+    rows, y = linear.training_rows(docs, labels, "quality", qc.FEATURES, 1000, ~qc.held_out(F.col("doc_id")))
+    want = linear.sparse_rows([f"text {i}" for i in range(200) if zlib.crc32(str(i).encode()) % 5], qc.FEATURES)
+    key = lambda r: sorted(zip(r[0].tolist(), r[1].tolist(), strict=True))
+    assert sorted(map(key, rows)) == sorted(map(key, want)) and len(y) == len(rows)
+    assert len(linear.training_rows(docs, labels, "quality", qc.FEATURES, 10)[0]) == 10
+
+
+def test_long_texts_are_trained_on(spark, monkeypatch):
+    """No text is left out for its length; of too many features some are taken, whatever their place in the text."""
+    long = " ".join(f"w{i}" for i in range(30_000))
+    docs = spark.createDataFrame([(1, long), (1, long + " x"), (2, "short one"), (3, None), (None, "no id")], "doc_id long, text string").withColumn("y", F.lit("clash"))
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1), (4, 1), (None, 1), (2, None)], "doc_id long, quality int")
+    rows, y = linear.training_rows(docs, labels, "quality", qc.FEATURES, 100)
+    assert y.tolist() == [1.0, 0.0] and [len(f) for f, _ in rows] == [linear.ROW_FEATURES, 4]
+    every = linear.sparse_rows([long], qc.FEATURES)[0]
+    assert dict(zip(rows[0][0].tolist(), rows[0][1].tolist(), strict=True)).items() <= dict(zip(every[0].tolist(), every[1].tolist(), strict=True)).items()
+    assert linear.training_rows(docs.limit(0), labels, "quality", qc.FEATURES, 100)[0] == []
 
 
 # ---- 2 ------------------------------------------------------------------------------------------
@@ -173,23 +188,80 @@ def test_jaccard_edges(spark):
 # ---- 4 and 5 ------------------------------------------------------------------------------------
 
 
-def test_warc(spark):
-    big, tricky = "<p>é" * 400, "x\r\n\r\nWARC/1.1\r\n\r\n" * 80
-    rows = [(1, "u1", big), (2, "u2", big), (3, None, big), (4, "u\n4", tricky), (5, "u5", tricky), (6, "u6", "small"), (7, "u7", "small"), (8, "u8", None), (9, "u9", "")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("record_type", F.lit("clash"))
-    from quarry.llm.common import new_path
-
+def archived(spark, rows, url_type="string"):
+    pages = spark.createDataFrame(rows, f"page_id long, url {url_type}, html string").withColumn("record_type", F.lit("clash")).withColumn("rows", F.lit(1))
     path = new_path(spark, "warc-test")
     warc.write_archives(pages, path)
-    got = {r["page_id"]: r for r in warc.followed(warc.read_archives(spark, path)).collect()}
-    assert len(got) == len(rows)
+    return path, warc.followed(warc.read_archives(spark, path)).collect()
+
+
+@pytest.mark.parametrize("archive_bytes", [1, 32 << 20])
+def test_warc(spark, monkeypatch, archive_bytes):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", archive_bytes)
+    big, tricky = "<p>é" * 400, "x\r\n\r\nWARC/1.1\r\n\r\n" * 80
+    rows = [(1, "u1", big), (2, "u2", big), (3, None, big), (4, "u\n4", tricky), (5, "u5", tricky), (6, "u6", "small"), (7, "u7", "small"), (8, "u8", None), (9, "u9", ""), (10, "u10", "long " * 300_000)]
+    path, found = archived(spark, rows)
+    got = {r["page_id"]: r for r in found}
+    assert len(found) == len(got) == len(rows) and len({r["record_id"] for r in found}) == len(rows)
     for i, url, html in rows:
         raw = (html or "").encode()
         assert (got[i]["payload_bytes"], got[i]["payload_digest"]) == (len(raw), hashlib.sha1(raw).hexdigest())
         assert got[i]["url"] == (url and url.replace("\n", " "))
-    assert {i: (r["record_type"], r["refers_to"]) for i, r in got.items()} == {1: ("revisit", 3), 2: ("revisit", 3), 3: ("response", None), 4: ("revisit", 5), 5: ("response", None), 6: ("response", None), 7: ("response", None), 8: ("response", None), 9: ("response", None)}
-    empty = new_path(spark, "warc-empty")
-    warc.write_archives(pages.limit(0), empty)
+    to = lambda r: r["refers_to"] and got[int(r["refers_to"].split(":")[2])]
+    assert all((r["record_type"] == "revisit") == (r["refers_to"] is not None) and (r["refers_to"] is None or to(r)["record_id"] == r["refers_to"]) for r in found)
+    assert {i: to(r)["page_id"] for i, r in got.items() if r["refers_to"]} == {1: 3, 2: 3, 4: 5}
+    # Every record is a gzip member, and a file is gzip from end to end.
+    import glob
+    import gzip
+
+    for name in glob.glob(f"{path.removeprefix('file:')}/part-*"):
+        with open(name, "rb") as f:
+            data = f.read()
+        assert gzip.decompress(data).count(b"WARC-Record-ID") == sum(len(list(warc.records(iter([gzip.decompress(m)])))) for m in members(data))
+
+
+def members(data):
+    import zlib as z
+
+    while data:
+        d = z.decompressobj(31)
+        d.decompress(data)
+        yield data[: len(data) - len(d.unused_data)]
+        data = d.unused_data
+
+
+def test_warc_of_repeated_ids(spark):
+    a, b = "a" * 1500, "b" * 1500
+    _, found = archived(spark, [(1, "u", a), (9, "v", a), (1, "w", b)])
+    assert sorted((r["page_id"], r["url"], r["record_type"], r["payload_digest"]) for r in found) == sorted(
+        [(1, "u", "revisit", hashlib.sha1(a.encode()).hexdigest()), (9, "v", "response", hashlib.sha1(a.encode()).hexdigest()), (1, "w", "response", hashlib.sha1(b.encode()).hexdigest())]
+    )
+    # The largest id itself is repeated: one response, and a revisit for every other row, each with its url.
+    rows = [(7, "x", a), (7, "y", a), (7, "y", a), (7, None, a), (3, "z", a), (None, "n", a), (None, "n", b), (None, "m", b), (2, "s", "small"), (2, "s", "small")]
+    _, found = archived(spark, rows)
+    assert sorted(map(str, ((r["page_id"], r["url"]) for r in found))) == sorted(map(str, ((i, u) for i, u, _ in rows)))
+    assert len({r["record_id"] for r in found}) == len(rows)
+    of_a = [r for r in found if r["header_digest"] == hashlib.sha1(a.encode()).hexdigest()]
+    assert [r["page_id"] for r in of_a if r["record_type"] == "response"] == [7] and len(of_a) == 6
+    assert all(r["payload_bytes"] == 1500 and r["refers_to"].startswith("<urn:page:7:") for r in of_a if r["record_type"] == "revisit")
+    assert all(r["record_type"] == "response" for r in found if r not in of_a)
+
+
+def test_warc_same_as_sql_with_repeats(spark, tmp_path):
+    import duckdb
+
+    rnd = random.Random(4)
+    texts = ["p" * 1200, "q" * 1000, "r" * 999, "é" * 500, None, ""]
+    rows = [(rnd.choice([*range(12), None]), "u", rnd.choice(texts)) for _ in range(150)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    df = warc.op4_warc(spark, str(tmp_path))
+    want = duckdb.sql(f"with pages as (select * from '{tmp_path}/pages.parquet/*.parquet') select {','.join(df.columns)} from ({warc.OP4_SQL})").fetchall()
+    assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, want))
+
+
+def test_warc_empty(spark):
+    path, found = archived(spark, [])
+    assert found == [] and warc.read_archives(spark, path).count() == 0
 
 
 def test_warc_streams_in_any_pieces():
@@ -239,20 +311,48 @@ def test_bpe_agrees_with_the_library(sf, monkeypatch):
     texts += ["", " ", "á b é", "x<|endoftext|>y <|startoftext|>", "don't  we'll\n 　z", "12 3a4 ́x ý", "İstanbul ΣΑΣ σς", "a\x1cb \x85c ​d", "가 각 가", "z" * 9000 + " y", "ABC\0d", "　", "a 　 b"]
     texts += random_texts(3, "ab '<|>é́ \n\t1½ß가　", 800)
     want = [(e.ids, t.decode(e.ids, skip_special_tokens=False)) for e in t.encode_batch(texts, add_special_tokens=False)]
-    monkeypatch.setattr(bpe, "CACHED_WORDS", 500)  # tables overflow again and again
-    monkeypatch.setattr(bpe, "CACHED_CHUNKS", 50)
+    for name in ("CACHED_CHUNKS", "CACHED_SIDES", "CACHED_JOINS"):
+        monkeypatch.setattr(bpe, name, 50)  # tables overflow again and again
     c = bpe.ChunkCoder(json)
     for _ in range(2):
         got = [(np.frombuffer(i, "<u4").tolist(), d) for i, d in c.code(pa.array(texts))]
         assert got == want
 
 
-def test_bpe_joins_are_repaired(monkeypatch):
+def with_token(json, *contents):
+    import json as j
+
+    t = j.loads(json)
+    first = max([x["id"] for x in t["added_tokens"]]) + 1
+    t["added_tokens"] += [{"id": first + i, "content": c, "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False} for i, c in enumerate(contents)]
+    return j.dumps(t)
+
+
+@pytest.mark.parametrize("added", [["one two"], ["one two three", "two x"], ["x\none", "three  three"]])
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_bpe_joins_are_repaired(monkeypatch, added, name):
+    """Tokens of several words, and a tokenizer whose tokens hold white space."""
+    monkeypatch.setattr(bpe, "CUT_MASK", 1)
+    c = bpe.ChunkCoder(with_token(bpe.public_tokenizer(name), *added))
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice(["one", "two", "three", "x"]) + rnd.choice([" ", " ", "  ", "\n"]) for _ in range(rnd.randint(0, 60))) for _ in range(300)] + ["", " ", "\n\n", " one two "]
+    want = c.tokenizer.encode_batch(texts, add_special_tokens=False)
+    got = list(c.code(pa.array(texts)))
+    assert [np.frombuffer(i, "<u4").tolist() for i, _ in got] == [e.ids for e in want]
+    assert [d for _, d in got] == [c.tokenizer.decode(e.ids, skip_special_tokens=False) for e in want]
+    assert any(not ok for ok in c.agreed.values()) and any(c.agreed.values())
+
+
+def test_bpe_encodes_whole_chunks_once(monkeypatch):
     c = bpe.ChunkCoder(bpe.public_tokenizer())
-    assert c.joins_agree(b"ab", b" ", b"cd") and not c.joins_agree(b"ab", b"", b"cd")
-    monkeypatch.setattr(c, "joins_agree", lambda *a: False)  # no join agrees: texts are chunks as a whole
-    texts = ["one two three four five " * 30, "x"]
-    assert [i for i, _ in c.code(pa.array(texts))] == c.direct(texts)
+    seen = []
+    direct = c.direct
+    monkeypatch.setattr(c, "direct", lambda texts: seen.extend(texts) or direct(texts))
+    rnd = random.Random(8)
+    passage = " ".join("".join(rnd.choices("abcdef", k=5)) for _ in range(400))
+    list(c.code(pa.array([f"start {i} {passage} end {i}" for i in range(20)])))
+    long = [t for t in seen if len(t) > 100]
+    assert len(long) == len(set(long)) and sum(map(len, long)) < 4 * len(passage)
 
 
 def test_bpe_edges(spark):
