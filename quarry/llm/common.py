@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -103,8 +104,9 @@ def prepare(spark: SparkSession) -> None:
     Queries and pipeline stages call this; whoever calls operators directly sets what suits the session.
     """
     for key, most in BATCH.items():
-        now = str(spark.conf.get(key, "-1")).lower()
-        if not now.isdigit() or not 0 < int(now) <= most:
+        # A bound of 0 rows or fewer is none; bytes may come with a unit.
+        now = re.fullmatch("([0-9]+)([kmg]?)b?", str(spark.conf.get(key, str(1 << 30))).lower())
+        if not now or not 0 < int(now[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[now[2]] <= most:
             spark.conf.set(key, str(most))
 
 
