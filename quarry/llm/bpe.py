@@ -3,13 +3,14 @@
 A document is cut after words where a rolling hash over its last words hits a fixed
 pattern, so equal passages are cut alike wherever they stand; a chunk has the white space
 before its words, so the chunks of a document are its text.  Every worker keeps a bounded
-table of chunks, and a chunk that documents share is encoded once there, as a whole.
+table of recent chunks, and a chunk that documents share is encoded once there, as a whole.
 
 Joins are repaired: at each cut the words on both sides, as many as the longest token of the
 tokenizer spans, are encoded together and apart.  Where that differs, the two chunks are
 merged, the merged one is encoded anew as a whole, and the cuts next to it are verified again
-over twice as many words, until all agree.  Words at a cut that were verified are remembered,
-in a bounded table too.
+over twice as many words, until all agree.  What was verified is remembered, in a bounded table
+too: the words at a cut, or the characters there if no token of the tokenizer goes on after the
+end of a word.
 
 Nulls count as empty texts, which have no tokens.  Very long texts are coded whole, a chunk at a
 time.  Repeated rows give equal results.  Other columns are left alone, those named like the
@@ -21,7 +22,8 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from itertools import islice
+from json import dumps, loads
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +36,16 @@ from .common import table
 CUT_MASK = 31
 #: Words that the rolling hash covers.
 CUT_WORDS = 2
-CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 40_000, 60_000, 60_000
+CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 200_000, 60_000, 60_000
 #: Longer chunks and joins are not kept in a table.
 CACHED_BYTES = 1024
-SPACE = re.compile("[\\s\u2581\u0120\u010a]+")
+#: The end of a word inside a token; some tokenizers write spaces and line ends as other characters.
+ACROSS = re.compile("[^\\s\u2581\u0120\u010a][\\s\u2581\u0120\u010a]")
+#: Texts in which only white space and case can be changed by the normalizer below: Latin letters without
+#: marks of their own, but for the one whose lower case is two characters.
+SIMPLE = re.compile("[\\t\\n\\r -~\u00a1-\u012f\u0131-\u024f]*")
+GAPS, UNEVEN = re.compile("[\\t\\n\\r ]+"), re.compile("[\\t\\n\\r]|  ")
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 
 
 class ChunkCoder:
@@ -55,16 +63,51 @@ class ChunkCoder:
         self.token = [""] * (max(vocab.values(), default=-1) + 1)
         for token, i in vocab.items():
             self.token[i] = token
+        spans = [len(ACROSS.findall(t)) for t in vocab]
         #: Words at each side of a cut: as many as a token can reach beyond it.
-        self.reach = max([1, *(len(SPACE.findall(t)) for t in vocab)])
-        self.chunks: dict[bytes, bytes] = {}
+        self.reach = max([1, *spans])
+        #: If no token goes on after a word's end, what happens at a cut depends on the characters there.
+        self.by_edge = not any(spans)
+        self.plain = self._without_normalizer(json)
+        self.chunks = Recent(CACHED_CHUNKS)
         #: Of words at cuts, alone, and of whether they agree.
-        self.sides: dict[bytes, bytes] = {}
-        self.agreed: dict[tuple[bytes, bytes], bool] = {}
+        self.sides, self.agreed = Recent(CACHED_SIDES), Recent(CACHED_JOINS)
+
+    def _without_normalizer(self, json: str):
+        """The tokenizer for SIMPLE texts that are normalized before, if its normalizer is the one that is known here."""
+        from tokenizers import Tokenizer
+
+        spec = loads(json)
+        if spec.get("normalizer") != NORMALIZER or any(x["normalized"] for x in spec["added_tokens"]):
+            return None
+        # Tokens that are found before normalization must not be found after it.
+        self.found_before = [x["content"].lower() for x in spec["added_tokens"]]
+        plain = Tokenizer.from_str(dumps(spec | {"normalizer": None}))
+        plain.no_truncation()
+        plain.no_padding()
+        return plain
 
     def direct(self, texts: list[bytes]) -> list[bytes]:
-        """Ids as little-endian unsigned 32-bit integers."""
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+        """Ids of each text, encoded as a whole, as little-endian unsigned 32-bit integers."""
+        of_plain, plain, of_rest, rest = [], [], [], []
+        for i, raw in enumerate(texts):
+            t = raw.decode("utf-8", "replace")
+            if self.plain is not None and SIMPLE.fullmatch(t):
+                low = t.lower()
+                spaced = GAPS.sub(" ", low) if UNEVEN.search(low) else low
+                if not any(x in low or x in spaced for x in self.found_before):
+                    of_plain.append(i)
+                    plain.append(spaced)
+                    continue
+            of_rest.append(i)
+            rest.append(t)
+        out = [b""] * len(texts)
+        for tokenizer, of, some in ((self.plain, of_plain, plain), (self.tokenizer, of_rest, rest)):
+            if some:
+                for i, e in zip(of, tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
+                    ids = e.ids
+                    out[i] = pack(f"<{len(ids)}I", *ids)
+        return out
 
     def decode(self, ids: bytes) -> str:
         """As the library's decode() with special tokens: without a decoder the tokens, joined by blanks."""
@@ -74,27 +117,46 @@ class ChunkCoder:
         token = self.token
         return " ".join([token[i] for i in numbers])
 
-    def encoded(self, parts: list[bytes], table_: dict[bytes, bytes], most: int) -> list[bytes]:
-        """Ids of texts, each encoded as a whole: from a table of at most so many, or encoded now."""
+    def encoded(self, parts: list[bytes], table_: Recent) -> list[bytes]:
+        """Ids of texts, each encoded as a whole: from the table, or encoded now."""
         known = [table_.get(p) for p in parts]
         new = list(dict.fromkeys([p for p, ids in zip(parts, known, strict=True) if ids is None]))
         if not new:
             return known
         found = dict(zip(new, self.direct(new), strict=True))
         out = [found[p] if ids is None else ids for p, ids in zip(parts, known, strict=True)]
-        _keep(table_, ((p, ids) for p, ids in found.items() if len(p) <= CACHED_BYTES), len(found), most)
+        for p, ids in found.items():
+            if len(p) <= CACHED_BYTES:
+                table_.put(p, ids)
         return out
 
+    def edge(self, join: tuple[bytes, bytes]) -> tuple[bytes, bytes]:
+        """The last character before a cut; the white space and first character after it."""
+        left, right = join
+        word = right.lstrip(b" \t\n\x0b\x0c\r")
+        return left.decode("utf-8", "replace")[-1:].encode(), right[: len(right) - len(word)] + word.decode("utf-8", "replace")[:1].encode()
+
     def joins_agree(self, joins: list[tuple[bytes, bytes]]) -> list[bool]:
         """Are two texts, encoded one after the other, encoded as when they are one?"""
-        known = [self.agreed.get(j) for j in joins]
-        new = list(dict.fromkeys([j for j, k in zip(joins, known, strict=True) if k is None]))
+        if self.by_edge:
+            some = {self.edge(j): j for j in reversed(joins)}
+            agree = dict(zip(some, self._verified(list(some), list(some.values())), strict=True))
+            return [agree[self.edge(j)] for j in joins]
+        return self._verified(joins, joins)
+
+    def _verified(self, keys: list[tuple[bytes, bytes]], joins: list[tuple[bytes, bytes]]) -> list[bool]:
+        """joins_agree, remembered under the given keys."""
+        known = [self.agreed.get(k) for k in keys]
+        new = {k: j for k, j, ok in zip(keys, joins, known, strict=True) if ok is None}
         if not new:
             return known
-        left, right = (self.encoded([j[i] for j in new], self.sides, CACHED_SIDES) for i in (0, 1))
-        found = {j: x + y == both for j, x, y, both in zip(new, left, right, self.direct([x + y for x, y in new]), strict=True)}
-        out = [found[j] if k is None else k for j, k in zip(joins, known, strict=True)]
-        _keep(self.agreed, ((j, k) for j, k in found.items() if len(j[0]) + len(j[1]) <= CACHED_BYTES), len(found), CACHED_JOINS)
+        left, right = (self.encoded([j[i] for j in new.values()], self.sides) for i in (0, 1))
+        whole = self.direct([x + y for x, y in new.values()])
+        found = {k: x + y == both for k, x, y, both in zip(new, left, right, whole, strict=True)}
+        out = [found[k] if ok is None else ok for k, ok in zip(keys, known, strict=True)]
+        for k, ok in found.items():
+            if len(k[0]) + len(k[1]) <= CACHED_BYTES:
+                self.agreed.put(k, ok)
         return out
 
     def code(self, column: pa.Array) -> Iterator[tuple[bytes, str]]:
@@ -139,19 +201,30 @@ class ChunkCoder:
         is_first[begin] = True
         starts[is_first], starts[~is_first] = b.offsets[:-1], at
         stops = np.append(starts[1:], b.offsets[-1])
-        ids = self.encoded([data[s:e] for s, e in zip(starts.tolist(), stops.tolist(), strict=True)], self.chunks, CACHED_CHUNKS)
+        ids = self.encoded([data[s:e] for s, e in zip(starts.tolist(), stops.tolist(), strict=True)], self.chunks)
         for i, k in zip(begin.tolist(), n.tolist(), strict=True):
             raw = b"".join(ids[i : i + k])
             yield raw, self.decode(raw)
 
 
-def _keep(table_: dict, items: Iterator[tuple], n: int, most: int) -> None:
-    """Put items into a table of bounded size; frequent ones come early and stay when the younger half goes."""
-    if len(table_) + n > most:
-        old = list(islice(table_.items(), most // 2))
-        table_.clear()
-        table_.update(old)
-    table_.update(islice(items, max(most - len(table_), 0)))
+class Recent:
+    """A table of at most so many items; what has not been asked for since half as many came goes."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if 2 * len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
 
 
 _coders: dict[int, ChunkCoder] = {}
