@@ -22,8 +22,8 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain, pairwise
 from json import dumps, loads
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +43,8 @@ CACHED_BYTES = 1024
 ACROSS = re.compile("[^\\s\u2581\u0120\u010a][\\s\u2581\u0120\u010a]")
 #: Texts in which only white space and case can be changed by the normalizer below: Latin letters without
 #: marks of their own, but for the one whose lower case is two characters.
-SIMPLE = re.compile("[\\t\\n\\r -~\u00a1-\u012f\u0131-\u024f]*")
-GAPS, UNEVEN = re.compile("[\\t\\n\\r ]+"), re.compile("[\\t\\n\\r]|  ")
+SIMPLE = re.compile("[\\x01\\t\\n\\r -~\u00a1-\u012f\u0131-\u024f]*")
+MARK = b"\x01"
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 
 
@@ -87,27 +87,34 @@ class ChunkCoder:
         plain.no_padding()
         return plain
 
+    def simple(self, texts: str) -> str | None:
+        """Texts, with marks between them, as the normalizer leaves them, or None if that takes the normalizer."""
+        if self.plain is None or not SIMPLE.fullmatch(texts):
+            return None
+        low = texts.lower()
+        spaced = low.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        while "  " in spaced:
+            spaced = spaced.replace("  ", " ")
+        return None if any(x in low or x in spaced for x in self.found_before) else spaced
+
     def direct(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, encoded as a whole, as little-endian unsigned 32-bit integers."""
-        of_plain, plain, of_rest, rest = [], [], [], []
-        for i, raw in enumerate(texts):
-            t = raw.decode("utf-8", "replace")
-            if self.plain is not None and SIMPLE.fullmatch(t):
-                low = t.lower()
-                spaced = GAPS.sub(" ", low) if UNEVEN.search(low) else low
-                if not any(x in low or x in spaced for x in self.found_before):
-                    of_plain.append(i)
-                    plain.append(spaced)
-                    continue
-            of_rest.append(i)
-            rest.append(t)
-        out = [b""] * len(texts)
-        for tokenizer, of, some in ((self.plain, of_plain, plain), (self.tokenizer, of_rest, rest)):
-            if some:
-                for i, e in zip(of, tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                    ids = e.ids
-                    out[i] = pack(f"<{len(ids)}I", *ids)
-        return out
+        whole = self.simple(MARK.join(texts).decode("utf-8", "replace"))
+        if whole is not None and len(ready := whole.split(MARK.decode())) == len(texts):
+            return self._ids(self.plain, ready)
+        ready = [t.decode("utf-8", "replace") for t in texts]
+        low = [None if MARK.decode() in t else self.simple(t) for t in ready]
+        of_plain = iter(self._ids(self.plain, [x for x in low if x is not None]))
+        of_rest = iter(self._ids(self.tokenizer, [t for t, x in zip(ready, low, strict=True) if x is None]))
+        return [next(of_rest if x is None else of_plain) for x in low]
+
+    def _ids(self, tokenizer, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        ids = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        ends = (4 * np.cumsum([0, *map(len, ids)])).tolist()
+        raw = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1] // 4).tobytes()
+        return [raw[i:j] for i, j in pairwise(ends)]
 
     def decode(self, ids: bytes) -> str:
         """As the library's decode() with special tokens: without a decoder the tokens, joined by blanks."""
@@ -130,22 +137,26 @@ class ChunkCoder:
                 table_.put(p, ids)
         return out
 
-    def edge(self, join: tuple[bytes, bytes]) -> tuple[bytes, bytes]:
-        """The last character before a cut; the white space and first character after it."""
-        left, right = join
-        word = right.lstrip(b" \t\n\x0b\x0c\r")
-        return left.decode("utf-8", "replace")[-1:].encode(), right[: len(right) - len(word)] + word.decode("utf-8", "replace")[:1].encode()
-
-    def joins_agree(self, joins: list[tuple[bytes, bytes]]) -> list[bool]:
-        """Are two texts, encoded one after the other, encoded as when they are one?"""
-        if self.by_edge:
-            some = {self.edge(j): j for j in reversed(joins)}
-            agree = dict(zip(some, self._verified(list(some), list(some.values())), strict=True))
-            return [agree[self.edge(j)] for j in joins]
-        return self._verified(joins, joins)
+    def joins_agree(self, data: bytes, lo: np.ndarray, mid: np.ndarray, begin: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Are the texts from lo to mid and from mid to hi, encoded one after the other, encoded as when they are one?
+
+        begin: of the word after the white space at mid.
+        """
+        if not self.by_edge:
+            joins = [(data[x:y], data[y:z]) for x, y, z in zip(lo.tolist(), mid.tolist(), hi.tolist(), strict=True)]
+            return np.array(self._verified(joins, joins), bool)
+        # The bytes at a cut decide; of characters of several bytes all are taken.
+        b = np.frombuffer(data, np.uint8)
+        left, gap, right = b[mid - 1].astype(np.int64), b[mid].astype(np.int64), b[begin].astype(np.int64)
+        short = (left < 128) & (right < 128) & (begin == mid + 1)
+        key = np.where(short, left << 16 | gap << 8 | right, (1 << 32) + np.arange(len(mid)))
+        _, one, where = np.unique(key, return_index=True, return_inverse=True)
+        joins = [(data[x:y], data[y:z]) for x, y, z in zip(lo[one].tolist(), mid[one].tolist(), hi[one].tolist(), strict=True)]
+        keys = [(x.decode("utf-8", "replace")[-1:].encode(), y[: k - m] + y[k - m :].decode("utf-8", "replace")[:1].encode()) for (x, y), m, k in zip(joins, mid[one].tolist(), begin[one].tolist(), strict=True)]
+        return np.array(self._verified(keys, joins), bool)[where]
 
     def _verified(self, keys: list[tuple[bytes, bytes]], joins: list[tuple[bytes, bytes]]) -> list[bool]:
-        """joins_agree, remembered under the given keys."""
+        """Do joins agree?  Remembered under the given keys."""
         known = [self.agreed.get(k) for k in keys]
         new = {k: j for k, j, ok in zip(keys, joins, known, strict=True) if ok is None}
         if not new:
@@ -177,7 +188,7 @@ class ChunkCoder:
         while len(unsure):
             i = at[unsure]
             lo, mid, hi = starts[np.maximum(i - reach + 1, first[doc[i]])], ends[i], ends[np.minimum(i + reach, last[doc[i]])]
-            good = np.array(self.joins_agree([(data[x:y], data[y:z]) for x, y, z in zip(lo.tolist(), mid.tolist(), hi.tolist(), strict=True)]), bool)
+            good = self.joins_agree(data, lo, mid, starts[i + 1], hi)
             bad = unsure[~good]
             if not len(bad):
                 break
