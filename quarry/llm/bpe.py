@@ -37,6 +37,8 @@ CUT_MASK = 31
 #: Words that the rolling hash covers.
 CUT_WORDS = 2
 CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 200_000, 60_000, 60_000
+#: Bytes of text that are cut and encoded at once.
+BLOCK_BYTES = 4 << 20
 #: Longer chunks and joins are not kept in a table.
 CACHED_BYTES = 1024
 #: The end of a word inside a token; some tokenizers write spaces and line ends as other characters.
@@ -171,7 +173,7 @@ class ChunkCoder:
         return out
 
     def code(self, column: pa.Array) -> Iterator[tuple[bytes, str]]:
-        for b in blocks(column):
+        for b in blocks(column, BLOCK_BYTES):
             yield from self._block(b)
 
     def cuts(self, b: Block, data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -259,9 +261,9 @@ def encode(docs: DataFrame, tokenizer_json: str, text_col: str = "text") -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = worker_coder(tokenizer_json)
         for batch in batches:
-            # Slices bound what is held at once where texts are long.
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
+            # Slices bound what is held at once where a session's batches are large.
+            for lo in range(0, batch.num_rows, 2000):
+                part = batch.slice(lo, 2000)
                 coded = list(coder.code(part.column(at)))
                 cols = [*part.columns, pa.array([c[0] for c in coded], pa.binary()), pa.array([c[1] for c in coded], pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, [*part.schema.names, "token_ids", "decoded"])
