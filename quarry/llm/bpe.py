@@ -36,9 +36,11 @@ from .common import table
 CUT_MASK = 31
 #: Words that the rolling hash covers.
 CUT_WORDS = 2
-CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 200_000, 60_000, 60_000
-#: Bytes of text that are cut and encoded at once.
+CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 120_000, 60_000, 60_000
+#: Bytes of text that are cut at once.
 BLOCK_BYTES = 4 << 20
+#: Texts that the library encodes at a time.
+BATCH_TEXTS = 8000
 #: Longer chunks and joins are not kept in a table.
 CACHED_BYTES = 1024
 #: The end of a word inside a token; some tokenizers write spaces and line ends as other characters.
@@ -111,12 +113,14 @@ class ChunkCoder:
         return [next(of_rest if x is None else of_plain) for x in low]
 
     def _ids(self, tokenizer, texts: list[str]) -> list[bytes]:
-        if not texts:
-            return []
-        ids = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-        ends = (4 * np.cumsum([0, *map(len, ids)])).tolist()
-        raw = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1] // 4).tobytes()
-        return [raw[i:j] for i, j in pairwise(ends)]
+        out: list[bytes] = []
+        # What the library gives of a text is some fifty times its size.
+        for lo in range(0, len(texts), BATCH_TEXTS):
+            ids = [e.ids for e in tokenizer.encode_batch(texts[lo : lo + BATCH_TEXTS], add_special_tokens=False)]
+            ends = (4 * np.cumsum([0, *map(len, ids)])).tolist()
+            raw = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1] // 4).tobytes()
+            out += [raw[i:j] for i, j in pairwise(ends)]
+        return out
 
     def decode(self, ids: bytes) -> str:
         """As the library's decode() with special tokens: without a decoder the tokens, joined by blanks."""
