@@ -23,7 +23,9 @@
 
 Nulls and texts without words have an empty set and are linked with nothing; a null id
 takes part in no link and has a null component unless its set equals that of another
-row.  Rows that repeat an id are judged each by its own text but are one node.
+row.  Rows that repeat an id are judged each by its own text but are one node.  Very long texts
+are sets as a whole; of sets that tie on size the smaller id comes first.  An empty table gives an
+empty result.  Other columns are not read; one_of_each keeps them, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .blocks import blocks, mix, shingle_sets, tidy, U
-from .common import drop_written, small_side, table, written
+from .common import drop_written, fresh, small_side, table, written
 
 SHINGLE = 5
 #: Similarity: NUM * union <= DEN * intersection.
@@ -342,6 +344,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     postings = classes.select(F.posexplode("prefix").alias("pos", "token"), "id", "n").select("token", "id", F.col("n").cast("int"), most.cast("int").alias("most"))
     postings = postings.repartition("token").sortWithinPartitions("token", "n", "id")
     pairs = written(hubs(postings), "hubs")
+    scratch = [pairs]
 
     members = pairs.union(pairs.select("hub", F.col("hub").alias("id")).distinct())
     # Only hubs of more than one chunk are joined, and by broadcast where they are few: rows of one hub stay spread.
@@ -356,6 +359,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links = searched(dealt.select("hub", "chunk", "id", F.lit(0).alias("role"), F.monotonically_increasing_id().alias("label")))
     roots = written(components(links), "roots")
+    scratch += [links, roots]
 
     large = dealt.filter("chunks > 1").select("hub", "chunk", "chunks", "id").join(roots, "id", "left").withColumn("label", F.coalesce("root", "id"))
     if large.limit(1).count():
@@ -366,10 +370,13 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         open_ = outside.select("hub").distinct()
         more = searched(large.join(open_, "hub", "left_semi").select("hub", "chunk", "id", F.lit(1).alias("role"), "label").union(asked))
         roots = written(components(links.union(more)), "roots")
+        scratch += [large, more, roots]
 
     # Written, so that the join below is one of two plain exchanges, whose hot partitions Spark splits.
     classes = sets.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("id")).filter("id is not null")
     rooted = written(classes.join(roots, "id", "left").select("n", "h1", "h2", F.coalesce("root", "id").alias("component_id")), "rooted")
+    for df in scratch:
+        drop_written(df)
     return (
         sets.select("id", "n", "h1", "h2").join(rooted, ["n", "h1", "h2"], "left")
         .select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
@@ -378,9 +385,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without those that are not the first of their component; rows without an id stay, rows that repeat one stay once."""
-    extra = link_components(docs, id_col, text_col).filter("id != component_id").select(F.col("id").alias("_extra")).distinct()
-    kept = docs.join(extra, F.col(id_col).cast("long") == F.col("_extra"), "left_anti")
-    return kept
+    own = fresh(docs, "extra")
+    extra = link_components(docs, id_col, text_col).filter("id != component_id").select(F.col("id").alias(own)).distinct()
+    return docs.join(extra, F.col(id_col).cast("long") == F.col(own), "left_anti")
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
