@@ -9,17 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarry.llm import bpe, jaccard_join, mixing, quality_rules, secrets
-from quarry.llm.common import table, written
+from quarry.llm.common import drop_written, fresh_prefix, prepare, table, written
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the classifier reject go."""
+    prepare(spark)
     model = quality_rules.model_for(docs, table(spark, sf_dir, "labels"))
-    return quality_rules.judge(docs, model).filter("kept").select(*docs.columns)
+    own = fresh_prefix(docs, "rules_")
+    return quality_rules.judge(docs, model, prefix=own).filter(F.col(own + "kept")).select(*docs.columns)
 
 
 def jaccard_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates the document with the smallest id stays."""
+    prepare(spark)
     return jaccard_join.one_of_each(docs)
 
 
@@ -35,6 +38,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with their number and what they decode to."""
+    prepare(spark)
     coded = bpe.encode(docs.select("doc_id", "source", "text"), bpe.public_tokenizer())
     return coded.select("doc_id", "source", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"), "token_ids", "decoded")
 
@@ -52,7 +56,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            drop_written(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
