@@ -36,9 +36,9 @@ from .common import table
 CUT_MASK = 31
 #: Words that the rolling hash covers.
 CUT_WORDS = 2
-CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 120_000, 60_000, 60_000
-#: Bytes of text that are cut at once.
-BLOCK_BYTES = 4 << 20
+CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 100_000, 60_000, 60_000
+#: Bytes of text whose chunks are encoded at once.
+ENCODED_BYTES = 4 << 20
 #: Texts that the library encodes at a time.
 BATCH_TEXTS = 8000
 #: Longer chunks and joins are not kept in a table.
@@ -177,8 +177,19 @@ class ChunkCoder:
         return out
 
     def code(self, column: pa.Array) -> Iterator[tuple[bytes, str]]:
-        for b in blocks(column, BLOCK_BYTES):
-            yield from self._block(b)
+        """Ids and decoded text of each text; blocks are cut one by one, and encoded several at once."""
+        chunks: list[bytes] = []
+        counts: list[int] = []
+        size = 0
+        for b in blocks(column):
+            some, n = self._chunks(b)
+            chunks += some
+            counts += n
+            size += len(b.data)
+            if size >= ENCODED_BYTES:
+                yield from self._coded(chunks, counts)
+                chunks, counts, size = [], [], 0
+        yield from self._coded(chunks, counts)
 
     def cuts(self, b: Block, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Places in the block where texts are cut, all of whose joins agree, and their documents."""
@@ -208,19 +219,22 @@ class ChunkCoder:
             reach *= 2
         return ends[at], doc[at]
 
-    def _block(self, b: Block) -> Iterator[tuple[bytes, str]]:
+    def _chunks(self, b: Block) -> tuple[list[bytes], list[int]]:
+        """The chunks of a block, and how many each document has."""
         data = b.data.tobytes()
         at, doc = self.cuts(b, data)
         n = 1 + np.bincount(doc, minlength=b.n)
-        begin = np.cumsum(n) - n  # of each document's chunks
         starts = np.empty(len(at) + b.n, np.int64)
         is_first = np.zeros(len(starts), bool)
-        is_first[begin] = True
+        is_first[np.cumsum(n) - n] = True
         starts[is_first], starts[~is_first] = b.offsets[:-1], at
-        stops = np.append(starts[1:], b.offsets[-1])
-        ids = self.encoded([data[s:e] for s, e in zip(starts.tolist(), stops.tolist(), strict=True)], self.chunks)
-        for i, k in zip(begin.tolist(), n.tolist(), strict=True):
-            raw = b"".join(ids[i : i + k])
+        return [data[s:e] for s, e in pairwise([*starts.tolist(), int(b.offsets[-1])])], n.tolist()
+
+    def _coded(self, chunks: list[bytes], counts: list[int]) -> Iterator[tuple[bytes, str]]:
+        ids, at = self.encoded(chunks, self.chunks), 0
+        for n in counts:
+            raw = b"".join(ids[at : at + n])
+            at += n
             yield raw, self.decode(raw)
 
 
