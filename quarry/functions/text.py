@@ -5,9 +5,12 @@ Java's \\w is ASCII, so letters, marks and digits are spelled as \\p classes thr
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 # Patterns and rewrites that results depend on.
 WORD = r"\p{L}[\p{L}\p{N}\p{M}_'’-]+"
@@ -27,8 +30,14 @@ DIGRAPHS = (
     ("jh", "j"), ("ee", "i"), ("oo", "u"), ("aa", "a"), ("ii", "i"), ("uu", "u"), ("w", "v"),
 )
 #: Latin letters with marks and their base letters: what decomposition and dropping of marks give.
-MARKED = "àáâãäåāăąçćčďèéêëēėęěìíîïīįñńňṇṅòóôõöōőṛŕřśşšṣṭťùúûüūůűýÿžźżḍḥṃḷṁ"
-PLAIN = "aaaaaaaaacccdeeeeeeeeiiiiiinnnnnooooooorrrssssttuuuuuuuyyzzzdhmlm"
+MARKED = "àáâãäåāăąçćčďèéêëēėęěìíîïīįñńňṇṅòóôõöōőṛŕřśşšṣṭťùúûüūůűýÿžźżḍḥṃḷṁṝḹ"
+PLAIN = "aaaaaaaaacccdeeeeeeeeiiiiiinnnnnooooooorrrssssttuuuuuuuyyzzzdhmlmrl"
+#: Devanagari letters and signs, and their letters in the scholarly Latin transliteration.
+SIGNS = "अआइईउऊऋॠऌॡएओािीुूृॄॢॣेोकगङचजञटडणतदनपबमयरलवशषसहळंःऽ०१२३४५६७८९"
+LETTERS = "aāiīuūṛṝḷḹeoāiīuūṛṝḷḹeokgṅcjñṭḍṇtdnpbmyrlvśṣshḷṃḥ'0123456789"
+SIGN_PAIRS = (
+    ("ख", "kh"), ("घ", "gh"), ("छ", "ch"), ("झ", "jh"), ("ठ", "ṭh"), ("ढ", "ḍh"), ("थ", "th"), ("ध", "dh"), ("फ", "ph"), ("भ", "bh"), ("ऐ", "ai"), ("औ", "au"), ("ै", "ai"), ("ौ", "au"), ("ँ", "m̐"),
+)
 
 
 def let(value: Column, use) -> Column:
@@ -59,13 +68,30 @@ def strip_marks(c: Column) -> Column:
     return F.regexp_replace(F.translate(F.lower(c), MARKED, PLAIN), r"\p{M}", "")
 
 
+@F.pandas_udf(StringType())
+def nfkd_strip(s: pd.Series) -> pd.Series:
+    """Lower case after compatibility decomposition and without combining marks, for letters that strip_marks doesn't know."""
+    return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)).lower())
+
+
+def deva_to_latin(c: Column) -> Column:
+    """Devanagari in Latin letters; other text stays.
+
+    A consonant that neither a vowel sign nor a mark of silence follows has an inherent a.
+    """
+    s = F.regexp_replace(c, r"([\x{0915}-\x{0939}]\x{093C}?)(?![\x{093C}\x{093E}-\x{094D}\x{0962}\x{0963}])", "$1a")
+    s = F.regexp_replace(s, r"[\x{094D}\x{093C}]", "")
+    s = reduce(lambda x, r: F.replace(x, F.lit(r[0]), F.lit(r[1])), SIGN_PAIRS, s)
+    return F.when(has_devanagari(c), F.translate(s, SIGNS, LETTERS)).otherwise(c)
+
+
 def depossess(c: Column) -> Column:
     return F.regexp_replace(c, r"['’]s\b|['’](?![\p{L}\p{N}_])|['’]$", "")
 
 
 def fold(c: Column) -> Column:
-    """A key under which spellings of one name meet: marks, digraphs, doubled letters and punctuation go."""
-    s = F.replace(strip_marks(depossess(c)), F.lit("'"))
+    """A key under which spellings of one name meet, in either script: marks, digraphs, doubled letters and punctuation go."""
+    s = F.replace(strip_marks(deva_to_latin(depossess(c))), F.lit("'"))
     s = reduce(lambda x, r: F.replace(x, F.lit(r[0]), F.lit(r[1])), DIGRAPHS, s)
     return F.regexp_replace(F.regexp_replace(s, r"(.)\1+", "$1"), "[^a-z0-9]", "")
 

@@ -50,9 +50,20 @@ def ngrams(words: Column, n: int) -> Column:
 
 
 def repeated_ngrams(sections: DataFrame, n: int = 10) -> DataFrame:
-    """(gram, first_section, n_sections) of word n-grams that come in more than one section; sections: (section, words)."""
-    grams = sections.select("section", F.explode(F.array_distinct(ngrams(F.col("words"), n))).alias("gram"))
-    return grams.groupBy("gram").agg(F.min("section").alias("first_section"), F.countDistinct("section").alias("n_sections")).filter("n_sections > 1")
+    """(gram, first_section, n_sections) of word n-grams that come in more than one section; sections: (section, words).
+
+    Hashes are counted first; words go only to the first section of those that are shared.
+    """
+    def hashes(w: Column) -> Column:
+        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(F.slice(w, i, n)))).otherwise(F.array().cast("array<bigint>"))
+
+    hashed = sections.select("section", "words", let(F.col("words"), hashes).alias("hashes"))
+    counted = hashed.select("section", F.explode(F.array_distinct("hashes")).alias("h")).groupBy("h").agg(F.min("section").alias("first_section"), F.count("*").alias("n_sections")).filter("n_sections > 1")
+    # Of each shared one its place in the first section that has it.
+    at = hashed.select(F.col("section").alias("first_section"), F.posexplode("hashes").alias("pos", "h")).join(counted, ["first_section", "h"])
+    at = at.groupBy("h", "first_section", "n_sections").agg(F.min("pos").alias("pos"))
+    with_words = at.join(sections.select(F.col("section").alias("first_section"), "words"), "first_section")
+    return with_words.select(F.array_join(F.slice("words", F.col("pos") + 1, F.lit(n)), " ").alias("gram"), "first_section", "n_sections")
 
 
 def cross_references(chapters: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions import text as tx
 
+# Patterns of captions and years.
 CAPTION = r"(?i)\b((?:fig|figure|plate|pl|map|table)\.?\s*[0-9IVXivx]+[^\n.;]{0,70})"
 YEAR = r"\b(?:1[0-9]{3}|[89][0-9]{2})\b"
 

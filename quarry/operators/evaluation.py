@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
@@ -122,3 +125,32 @@ def round_robin(rows: DataFrame, by: str, n: int, seed: int, id_col: str) -> Dat
 
 def metric_rollup(per_query: DataFrame, metrics: list[str]) -> DataFrame:
     return per_query.agg(*[F.avg(m).alias(m) for m in metrics], F.count("*").alias("n"))
+
+
+def next_gold_ids(new: DataFrame, items: DataFrame, order: str = "question") -> DataFrame:
+    """new items with ids G-001, G-002 and so on, after the largest that items have."""
+    k = F.expr("try_cast(regexp_extract(id, '^G-([0-9]+)$', 1) as int)")
+    top = items.agg(F.coalesce(F.max(k), F.lit(0)).alias("top"))
+    number = (F.col("top") + F.row_number().over(W.orderBy(order))).cast("string")
+    rows = new.crossJoin(top)  # one row
+    return rows.withColumn("id", F.concat(F.lit("G-"), F.when(F.length(number) < 3, F.lpad(number, 3, "0")).otherwise(number))).drop("top")
+
+
+def sweep(base: dict, variants: dict[str, dict], run: Callable[[dict], DataFrame]) -> DataFrame:
+    """The results of run(settings) for each variant, a patch of the base settings, with variant, ord and description.
+
+    Settings are made anew for each variant; no variant sees another's.
+    """
+    from ..config import overlay
+
+    parts = []
+    for i, (name, patch) in enumerate(variants.items()):
+        cfg = overlay(base, {k: v for k, v in patch.items() if not k.startswith("_")})
+        parts.append(run(cfg).select(F.lit(i).alias("ord"), F.lit(name).alias("variant"), F.lit(patch.get("_desc", "")).alias("description"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stamped(results: DataFrame, label: str, config_hash: str, kb_hash: str, reranker: str, verified: float) -> DataFrame:
+    """results with where they come from."""
+    values = {"label": label, "config_hash": config_hash, "kb_hash": kb_hash, "reranker": reranker, "verified": float(verified)}
+    return results.withColumns({k: F.lit(v) for k, v in values.items()})

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions import numeric, text as tx
 from ..operators import claims as cl, cleaning, coherence, entities as en, evaluation as ev, grounding as gr, labels as lb, retrieval as rt, runs, upserts
+from ..session import shared_dir
 from .registry import query
 
 
@@ -375,10 +376,7 @@ def near_dup_pairs(spark, sf_dir):
 @query(None)
 def dup_demotion(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="quarry-"))
+    shared_dir(spark)
     groups = lb.star_groups(lb.near_duplicate_pairs(docs).checkpoint())
     labels = lb.structural_pass(docs.withColumn("trail", F.lit("")), duplicate_of=lb.duplicates_of(groups, docs))
     return labels.filter(F.exists("issues", lambda x: x.startswith("duplicate-of"))).select("chunk_id", "retrievable", F.array_join("issues", ",").alias("issues"))
@@ -512,13 +510,6 @@ def alias_collisions(spark, sf_dir):
     return en.collisions(en.aliases(_registry(spark))).select("folded", F.array_join("ids", ",").alias("ids"))
 
 
-@query(None)
-def near_dup_entities(spark, sf_dir):
-    reg = t(spark, sf_dir, "documents").select(F.explode(F.array_distinct(tx.words(F.col("text")))).alias("canonical")).groupBy("canonical").agg(F.count("*").alias("n")).filter("n >= 20")
-    reg = reg.select(F.concat(F.lit("E:"), "canonical").alias("entity_id"), "canonical").withColumn("ord", F.row_number().over(W.orderBy("canonical")))
-    return en.near_duplicates(reg)
-
-
 @query(None)
 def candidate_terms(spark, sf_dir):
     return en.candidate_terms(documents(spark, sf_dir), en.aliases(_registry(spark)))
@@ -526,7 +517,8 @@ def candidate_terms(spark, sf_dir):
 
 @query(None)
 def ungrounded_terms(spark, sf_dir):
-    turns = t(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("sub"), "role", "text")
+    said = F.when(F.col("turn") % 3 == 1, F.concat("text", F.lit(" It was in Zanzibar, in 1947."))).otherwise(F.col("text"))
+    turns = t(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("sub"), "role", said.alias("text"))
     return gr.ungrounded(turns.filter("role = 'assistant'"), turns.filter("role = 'user'").select("sub", "text"), en.aliases(_registry(spark)))
 
 
@@ -675,13 +667,6 @@ def staleness(spark, sf_dir):
     return upserts.stale(n.select(F.col("n_nationkey").alias("chapter")), stamps, "1")
 
 
-@query("SELECT coalesce(o_orderstatus, 'total') AS chapter, count(*) AS units, count(DISTINCT o_custkey) AS sources, round(sum(o_totalprice), 2) AS words FROM orders GROUP BY ROLLUP (o_orderstatus)")
-def coverage_rollup(spark, sf_dir):
-    o = t(spark, sf_dir, "orders")
-    r = o.rollup("o_orderstatus").agg(F.count("*").alias("units"), F.countDistinct("o_custkey").alias("sources"), F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")), 2).cast("double").alias("words"))
-    return r.select(F.coalesce("o_orderstatus", F.lit("total")).alias("chapter"), "units", "sources", "words")
-
-
 @query("SELECT o_custkey AS key, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1")
 def insert_or_replace(spark, sf_dir):
     o = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), "o_orderkey", "o_totalprice")
@@ -696,11 +681,6 @@ def run_sources(spark, sf_dir):
     return runs.merged_sources(o.select(F.col("o_orderpriority").alias("run_id"), s.alias("sources")))
 
 
-@query("SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL")
-def manifest(spark, sf_dir):
-    return t(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count("*").alias("n"))
-
-
 @query("SELECT p_partkey, greatest(4000, least(9000, CAST(floor(p_size * 800.0 + p_retailprice * 0.25) AS INTEGER))) AS target FROM part")
 def target_words(spark, sf_dir):
     return t(spark, sf_dir, "part").select("p_partkey", numeric.target_words(F.col("p_size"), F.col("p_retailprice")).alias("target"))

@@ -34,3 +34,16 @@ def ship(spark: SparkSession) -> None:
         for p in sorted(root.rglob("*.py")):
             z.write(p, str(p.relative_to(root.parent)))
     spark.sparkContext.addPyFile(path)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir.  One is made only on a single machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="quarry-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")

@@ -2,7 +2,7 @@
 
 import pytest
 
-from quarry.plans import queries as _  # noqa: F401
+from quarry.plans import operators as _operators, queries as _  # noqa: F401
 from quarry.plans.registry import QUERIES, SQL
 
 
