@@ -5,7 +5,9 @@
 stts, stsz, stsc, stco or co64, stss) into codec, duration and keyframe byte ranges; it
 never looks into mdat.  ``payload`` then reads the samples at the places the tables name.
 
-Nulls count as empty texts.  Equal payloads give equal files: no time of creation is set.
+Nulls count as empty texts.  Equal payloads give equal files: no time of creation is set, so repeated
+rows have equal values.  A very long text is one file, with 64-bit places if it needs them.  An empty
+table gives an empty result.  Extra columns are kept; those named like the result are replaced.
 """
 
 from __future__ import annotations
@@ -212,4 +214,7 @@ def features(media: DataFrame, media_col: str = "media") -> DataFrame:
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     media = written(stored(table(spark, sf_dir, "documents").select("doc_id", "text")), "media")
-    return features(media).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    ranges = F.array_join(F.transform("keyframes", lambda k: F.concat_ws("-", k["start"].cast("string"), k["end"].cast("string"))), ",")
+    return features(media).select(
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "codec", "duration_seconds", ranges.alias("keyframes"),
+    )
