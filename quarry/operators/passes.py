@@ -109,8 +109,8 @@ def resolved_entries(entries: DataFrame, client: Client, batch: int = 8) -> Data
     rows = _batched(entries.select("entry_id", "source", "chunk_id", "raw"), "entry_id", batch, F.substring("raw", 1, 320))
     schema = "struct<results:array<struct<i:int,author:string,title:string,year:int,publisher:string,kind:string>>>"
     got = asked(rows, _prompt("Split each entry into author, title, year, publisher and kind. Answer in JSON: results, with the place i of each.", F.col("listing")), schema, client)
-    each = got.select("answer", F.explode("items").alias("x")).select("x.row.*", F.element_at(F.filter("answer.results", lambda r: r["i"] == F.col("x.i")), -1).alias("r"))
-    each = each.drop("x")
+    each = got.select("answer", F.explode("items").alias("item"))
+    each = each.select(*[F.col(f"item.row.{c}").alias(c) for c in ("entry_id", "source", "chunk_id", "raw")], F.try_element_at(F.filter("answer.results", lambda r: r["i"] == F.col("item.i")), F.lit(-1)).alias("r"))
     author, title = (F.nullif(F.trim(F.coalesce(F.col(f"r.{c}"), F.lit(""))), F.lit("")) for c in ("author", "title"))
     named = author.isNotNull() | title.isNotNull()
     state = F.when(F.col("r").isNull(), 0).when(named, 1).otherwise(-1)
@@ -276,6 +276,6 @@ def content_labels(chunks: DataFrame, categories: tuple[str, ...], roles: tuple[
     schema = "struct<results:array<struct<i:int,content:array<string>,role:string>>>"
     got = asked(rows, _prompt(f"Label each passage with up to three of {', '.join(categories)} and a role of {', '.join(roles)}, in JSON: results.", F.col("listing")), schema, client)
     each = got.select("items", F.explode("answer.results").alias("r"))
-    row = F.element_at(F.filter("items", lambda x: x["i"] == F.col("r.i")), -1)
+    row = F.try_element_at(F.filter("items", lambda x: x["i"] == F.col("r.i")), F.lit(-1))
     each = each.select(row.alias("x"), "r").filter("x is not null")
     return each.select(F.col("x.row.rowid").alias("chunk_id"), models.valid_categories(F.col("r.content"), categories).alias("content"), F.when(F.col("r.role").isin(*roles), F.col("r.role")).alias("evidence_role"))
