@@ -19,6 +19,15 @@ import pyarrow.compute as pc
 U = np.uint64
 
 
+def give_back() -> None:
+    """Return unused memory of this process to the system."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def tidy(run):
     """run, a function of Arrow batches, that gives unused memory back at its end: Python workers live on, and what
     one operator once needed would be held through all that follow."""
@@ -28,11 +37,7 @@ def tidy(run):
             yield from run(batches)
         finally:
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            if sys.platform == "linux":
-                trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-                if trim is not None:
-                    trim(0)
+            give_back()
 
     return with_end
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain, pairwise
 from json import dumps, loads
 
@@ -29,14 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .blocks import Block, blocks, mix, tidy, U, words
+from .blocks import Block, blocks, give_back, mix, tidy, U, words
 from .common import table
 
 #: A chunk ends after a word where these bits of the rolling hash are 0: about 32 words.
 CUT_MASK = 31
 #: Words that the rolling hash covers.
 CUT_WORDS = 2
-CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 100_000, 60_000, 60_000
+CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 120_000, 30_000, 30_000
 #: Bytes of text whose chunks are encoded at once.
 ENCODED_BYTES = 4 << 20
 #: Texts that the library encodes at a time.
@@ -58,12 +59,10 @@ class ChunkCoder:
     def __init__(self, json: str):
         # A task is one core's work: threads of the library would only wait for each other.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(json)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.json, spec = json, loads(json)
+        self.joined_by_blanks = spec.get("decoder") is None
+        self.plain = self._without_normalizer(spec)
+        vocab = (self.plain or self.tokenizer).get_vocab(with_added_tokens=True)
         self.token = [""] * (max(vocab.values(), default=-1) + 1)
         for token, i in vocab.items():
             self.token[i] = token
@@ -72,24 +71,30 @@ class ChunkCoder:
         self.reach = max([1, *spans])
         #: If no token goes on after a word's end, what happens at a cut depends on the characters there.
         self.by_edge = not any(spans)
-        self.plain = self._without_normalizer(json)
         self.chunks = Recent(CACHED_CHUNKS)
         #: Of words at cuts, alone, and of whether they agree.
         self.sides, self.agreed = Recent(CACHED_SIDES), Recent(CACHED_JOINS)
 
-    def _without_normalizer(self, json: str):
-        """The tokenizer for SIMPLE texts that are normalized before, if its normalizer is the one that is known here."""
+    @cached_property
+    def tokenizer(self):
+        """The tokenizer as it is given; simple texts don't need it."""
+        return self._of(self.json)
+
+    def _of(self, json: str):
         from tokenizers import Tokenizer
 
-        spec = loads(json)
+        t = Tokenizer.from_str(json)
+        t.no_truncation()
+        t.no_padding()
+        return t
+
+    def _without_normalizer(self, spec: dict):
+        """The tokenizer for SIMPLE texts that are normalized before, if its normalizer is the one that is known here."""
         if spec.get("normalizer") != NORMALIZER or any(x["normalized"] for x in spec["added_tokens"]):
             return None
         # Tokens that are found before normalization must not be found after it.
         self.found_before = [x["content"].lower() for x in spec["added_tokens"]]
-        plain = Tokenizer.from_str(dumps(spec | {"normalizer": None}))
-        plain.no_truncation()
-        plain.no_padding()
-        return plain
+        return self._of(dumps(spec | {"normalizer": None}))
 
     def simple(self, texts: str) -> str | None:
         """Texts, with marks between them, as the normalizer leaves them, or None if that takes the normalizer."""
@@ -109,7 +114,8 @@ class ChunkCoder:
         ready = [t.decode("utf-8", "replace") for t in texts]
         low = [None if MARK.decode() in t else self.simple(t) for t in ready]
         of_plain = iter(self._ids(self.plain, [x for x in low if x is not None]))
-        of_rest = iter(self._ids(self.tokenizer, [t for t, x in zip(ready, low, strict=True) if x is None]))
+        rest = [t for t, x in zip(ready, low, strict=True) if x is None]
+        of_rest = iter(self._ids(self.tokenizer, rest) if rest else [])
         return [next(of_rest if x is None else of_plain) for x in low]
 
     def _ids(self, tokenizer, texts: list[str]) -> list[bytes]:
@@ -125,7 +131,7 @@ class ChunkCoder:
     def decode(self, ids: bytes) -> str:
         """As the library's decode() with special tokens: without a decoder the tokens, joined by blanks."""
         numbers = np.frombuffer(ids, "<u4").tolist()
-        if self.tokenizer.decoder is not None:
+        if not self.joined_by_blanks:
             return self.tokenizer.decode(numbers, skip_special_tokens=False)
         token = self.token
         return " ".join([token[i] for i in numbers])
@@ -284,7 +290,10 @@ def encode(docs: DataFrame, tokenizer_json: str, text_col: str = "text") -> Data
                 part = batch.slice(lo, 2000)
                 coded = list(coder.code(part.column(at)))
                 cols = [*part.columns, pa.array([c[0] for c in coded], pa.binary()), pa.array([c[1] for c in coded], pa.string())]
+                coded = None
                 yield pa.RecordBatch.from_arrays(cols, [*part.schema.names, "token_ids", "decoded"])
+                cols = None
+                give_back()
 
     return docs.mapInArrow(tidy(run), schema)
 
