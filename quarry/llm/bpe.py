@@ -1,6 +1,6 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
-A document is cut after words where a rolling hash over its last words hits a fixed
+A document is cut after words where a rolling hash over its last bytes hits a fixed
 pattern, so equal passages are cut alike wherever they stand; a chunk has the white space
 before its words, so the chunks of a document are its text.  Every worker keeps a bounded
 table of recent chunks, and a chunk that documents share is encoded once there, as a whole.
@@ -30,13 +30,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .blocks import Block, blocks, give_back, mix, tidy, U, words
+from .blocks import Block, blocks, IS_SPACE, mix, spans, tidy, U
 from .common import table
 
 #: A chunk ends after a word where these bits of the rolling hash are 0: about 32 words.
 CUT_MASK = 31
-#: Words that the rolling hash covers.
-CUT_WORDS = 2
+#: Bytes that the rolling hash covers.
+CUT_BYTES = 16
 CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 120_000, 30_000, 30_000
 #: Bytes of text whose chunks are encoded at once.
 ENCODED_BYTES = 4 << 20
@@ -199,13 +199,15 @@ class ChunkCoder:
 
     def cuts(self, b: Block, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Places in the block where texts are cut, all of whose joins agree, and their documents."""
-        h, doc, starts, ends = words(b)
-        rolling = h.copy()
-        for i in range(1, CUT_WORDS):
-            rolling[i:] += h[:-i] * U(2 * i + 1)
+        starts, ends, doc = spans(b, ~IS_SPACE[b.data])
+        if not len(ends):
+            return ends, doc
+        # A window of bytes slides over the text; it is looked at where words end, but for those that begin a text.
+        windows = np.ndarray((len(data) + 1,), "<u8", bytes(8) + data, strides=(1,))
+        rolling = mix(windows[ends].astype(U)) ^ windows[np.maximum(ends - 8, 0)].astype(U)
         inner = np.zeros(len(doc), bool)
         inner[:-1] = doc[1:] == doc[:-1]
-        at = np.flatnonzero(inner & ((mix(rolling) & U(CUT_MASK)) == 0))
+        at = np.flatnonzero(inner & (ends - b.offsets[doc] >= CUT_BYTES) & ((mix(rolling) & U(CUT_MASK)) == 0))
         first, last = np.searchsorted(doc, np.arange(b.n)), np.searchsorted(doc, np.arange(b.n), "right") - 1
         reach, unsure = self.reach, np.arange(len(at))
         while len(unsure):
@@ -290,10 +292,7 @@ def encode(docs: DataFrame, tokenizer_json: str, text_col: str = "text") -> Data
                 part = batch.slice(lo, 2000)
                 coded = list(coder.code(part.column(at)))
                 cols = [*part.columns, pa.array([c[0] for c in coded], pa.binary()), pa.array([c[1] for c in coded], pa.string())]
-                coded = None
                 yield pa.RecordBatch.from_arrays(cols, [*part.schema.names, "token_ids", "decoded"])
-                cols = None
-                give_back()
 
     return docs.mapInArrow(tidy(run), schema)
 
