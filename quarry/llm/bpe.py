@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .blocks import Block, blocks, IS_SPACE, mix, spans, tidy, U
 from .common import table
 
-#: A chunk ends after a word where these bits of the rolling hash are 0: about 32 words.
-CUT_MASK = 31
+#: A chunk ends after a word where these bits of the rolling hash are 0: about 64 words.
+CUT_MASK = 63
 #: Bytes that the rolling hash covers.
 CUT_BYTES = 16
-CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 120_000, 30_000, 30_000
+CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 60_000, 30_000, 30_000
 #: Bytes of text whose chunks are encoded at once.
 ENCODED_BYTES = 4 << 20
 #: Texts that the library encodes at a time.
@@ -63,7 +63,7 @@ class ChunkCoder:
         self.joined_by_blanks = spec.get("decoder") is None
         self.plain = self._without_normalizer(spec)
         vocab = (self.plain or self.tokenizer).get_vocab(with_added_tokens=True)
-        self.token = [""] * (max(vocab.values(), default=-1) + 1)
+        self.token = np.full(max(vocab.values(), default=-1) + 1, "", object)
         for token, i in vocab.items():
             self.token[i] = token
         spans = [len(ACROSS.findall(t)) for t in vocab]
@@ -130,11 +130,10 @@ class ChunkCoder:
 
     def decode(self, ids: bytes) -> str:
         """As the library's decode() with special tokens: without a decoder the tokens, joined by blanks."""
-        numbers = np.frombuffer(ids, "<u4").tolist()
+        numbers = np.frombuffer(ids, "<u4")
         if not self.joined_by_blanks:
-            return self.tokenizer.decode(numbers, skip_special_tokens=False)
-        token = self.token
-        return " ".join([token[i] for i in numbers])
+            return self.tokenizer.decode(numbers.tolist(), skip_special_tokens=False)
+        return " ".join(self.token[numbers].tolist())
 
     def encoded(self, parts: list[bytes], table_: Recent) -> list[bytes]:
         """Ids of texts, each encoded as a whole: from the table, or encoded now."""
