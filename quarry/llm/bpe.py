@@ -37,9 +37,9 @@ from .common import table
 CUT_MASK = 63
 #: Bytes that the rolling hash covers.
 CUT_BYTES = 16
-CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 60_000, 30_000, 30_000
+CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 50_000, 30_000, 30_000
 #: Bytes of text whose chunks are encoded at once.
-ENCODED_BYTES = 4 << 20
+ENCODED_BYTES = 3 << 20
 #: Texts that the library encodes at a time.
 BATCH_TEXTS = 8000
 #: Longer chunks and joins are not kept in a table.
