@@ -12,6 +12,7 @@ from .common import prepare
 from .jaccard_join import OP2_SQL, op2_jaccard_join
 from .language_model import op8_language_model
 from .media import op5_media
+from .merkle import OP11_SQL, op11_merkle_manifest
 from .mixing import OP10_SQL, op10_mixing
 from .quality_classifier import op3_quality_classifier
 from .quality_rules import op1_quality_rules
@@ -43,7 +44,8 @@ _QUERIES = {
     "op8_language_model": op8_language_model,
     "op9_secret_scans": op9_secret_scans,
     "op10_mixing": op10_mixing,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _prepared(f) for name, f in _QUERIES.items()}
 
-SQL: dict[str, str] = {"op2_jaccard_join": OP2_SQL, "op4_warc": OP4_SQL, "op9_secret_scans": OP9_SQL, "op10_mixing": OP10_SQL}
+SQL: dict[str, str] = {"op2_jaccard_join": OP2_SQL, "op4_warc": OP4_SQL, "op9_secret_scans": OP9_SQL, "op10_mixing": OP10_SQL, "op11_merkle_manifest": OP11_SQL}
