@@ -18,8 +18,9 @@ from .quality_classifier import op3_quality_classifier
 from .quality_rules import op1_quality_rules
 from .secrets import OP9_SQL, op9_secret_scans
 from .substring_dedup import op7_substring_dedup
+from .vector_dedup import OP13_SQL, op13_vector_dedup
 from .warc import OP4_SQL, op4_warc
-
+from .whitening import op12_embedding_whitening
 
 
 def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -45,7 +46,9 @@ _QUERIES = {
     "op9_secret_scans": op9_secret_scans,
     "op10_mixing": op10_mixing,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_vector_dedup": op13_vector_dedup,
 }
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _prepared(f) for name, f in _QUERIES.items()}
 
-SQL: dict[str, str] = {"op2_jaccard_join": OP2_SQL, "op4_warc": OP4_SQL, "op9_secret_scans": OP9_SQL, "op10_mixing": OP10_SQL, "op11_merkle_manifest": OP11_SQL}
+SQL: dict[str, str] = {"op2_jaccard_join": OP2_SQL, "op4_warc": OP4_SQL, "op9_secret_scans": OP9_SQL, "op10_mixing": OP10_SQL, "op11_merkle_manifest": OP11_SQL, "op13_vector_dedup": OP13_SQL}
