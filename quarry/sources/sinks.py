@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .snapshots import Snapshots
+
 
 def swap_table(df: DataFrame, path: str, spark: SparkSession) -> None:
-    """Write beside path, then take its place: a table may be read until the new one is whole."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    new, old = path.rstrip("/") + ".new", path.rstrip("/") + ".old"
-    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(fs_path(new), True)
-    df.write.parquet(new)
-    fs.delete(fs_path(old), True)
-    if fs.exists(fs_path(path)):
-        fs.rename(fs_path(path), fs_path(old))
-    fs.rename(fs_path(new), fs_path(path))
-    fs.delete(fs_path(old), True)
+    """df becomes the newest version of the table at path; there is a whole table at every moment, and readers of older ones go on."""
+    Snapshots(spark, path).update(lambda _: {"table": df})
+
+
+def current_table(path: str, spark: SparkSession) -> DataFrame:
+    """The newest version of a table that swap_table() wrote."""
+    found = Snapshots(spark, path).version()
+    if found is None:
+        raise FileNotFoundError(path)
+    return found.table("table")
 
 
 def packs_json(packs: DataFrame, path: str) -> None:
