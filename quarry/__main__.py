@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--rows", type=int, default=20)
     sub.add_parser("sql").add_argument("query")
     a = p.parse_args(argv)
-    from .plans import operators, queries  # noqa: F401
+    from .plans import index_queries, operators, queries  # noqa: F401
     from .plans.registry import QUERIES, SQL
 
     if a.command == "list":

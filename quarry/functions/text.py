@@ -225,3 +225,28 @@ def text_health(c: Column) -> Column:
         F.length(t).alias("chars"), F.regexp_count(t, F.lit(DEVANAGARI)).alias("devanagari"),
         F.regexp_count(t, F.lit("[āīūṛṝḷṃḥṅñṭḍṇśṣĀĪŪṚṬḌṆŚṢ]")).alias("iast"), F.regexp_count(t, F.lit("Ã|â€|�")).alias("mojibake"),
     )
+
+
+# ---- words of an index --------------------------------------------------------------------------
+
+#: Latin letters with marks, lower case, and their base letters: by decomposition, over the blocks that hold them.
+_FOLDED = {c: d[0] for c in map(chr, (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))) if c == c.lower() and (d := unicodedata.normalize("NFD", c)) != c and d[0].isascii()}
+ACCENTED, BASES = "".join(_FOLDED), "".join(_FOLDED.values())
+# Marks that a word may go on with (Latin and Devanagari marks, joiners).
+WORD_MARKS = r"\x{0300}-\x{036F}\x{0900}-\x{0903}\x{093A}-\x{094F}\x{0951}-\x{0957}\x{0962}\x{0963}\x{200C}\x{200D}"
+MARKED_WORD = rf"[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}_{WORD_MARKS}]*"
+
+
+def undiacritic(c: Column) -> Column:
+    """Lower case, Latin letters without their marks; other marks stay."""
+    return F.regexp_replace(F.translate(F.lower(c), ACCENTED, BASES), r"[\x{0300}-\x{036F}]", "")
+
+
+def index_tokens(c: Column) -> Column:
+    """What an index holds of a text, in order: runs of letters and digits without Latin marks.  Marks of other scripts part them."""
+    return F.regexp_extract_all(undiacritic(empty_if_null(c)), F.lit(f"({TOKEN})"), F.lit(1))
+
+
+def marked_words(c: Column) -> Column:
+    """Words with their marks, as one asks for them; in an index each is one token or several that stand side by side."""
+    return F.regexp_extract_all(empty_if_null(c), F.lit(f"({MARKED_WORD})"), F.lit(1))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import numeric, text as tx
-from ..operators import claims as cl, cleaning, coherence, entities as en, evaluation as ev, grounding as gr, labels as lb, retrieval as rt, runs, upserts
+from ..operators import claims as cl, cleaning, coherence, dense, entities as en, evaluation as ev, grounding as gr, labels as lb, retrieval as rt, runs, upserts
 from ..session import shared_dir
 from .registry import query
 
@@ -73,8 +73,7 @@ COS = "WITH s AS (SELECT q.vec_id AS qid, r.vec_id AS rowid, r.label, q.label AS
 def _dense(spark, sf_dir, allowed: DataFrame | None = None, k: int = 10) -> DataFrame:
     vec = t(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "rowid")
     queries = vec.filter("rowid % 100 = 0").select(F.col("rowid").alias("qid"), "embedding")
-    scored = rt.dense_scores(queries, vec, allowed).withColumn("score", F.round("score", 6))
-    return rt.top_k(scored, k)
+    return dense.top_k(queries, vec, k, allowed, digits=6)
 
 
 @query(COS.format(where="") + " SELECT qid, rowid, rank, score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, rowid) AS rank FROM s) WHERE rank <= 10")
@@ -202,9 +201,10 @@ FROM g JOIN a USING (qid) JOIN i ON k = least(n_relevant, 10)"""
 def retrieval_metrics(spark, sf_dir):
     e = t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("rowid"), "label", "embedding")
     queries = e.filter("rowid % 100 = 0").select(F.col("rowid").alias("qid"), "embedding")
-    scored = rt.dense_scores(queries, e).filter("qid <> rowid").withColumn("score", F.round("score", 6))
+    # A query finds itself too, so one row more is asked for, and ranks are counted without it.
+    found = dense.top_k(queries, e, 51, digits=6).filter("qid <> rowid").drop("rank")
     gold = e.filter("rowid % 100 = 0").select(F.col("rowid").alias("qid"), "label").join(e.select("rowid", "label"), "label").filter("qid <> rowid").select("qid", "rowid")
-    m = ev.ranking_metrics(rt.top_k(scored, 50), gold)
+    m = ev.ranking_metrics(rt.top_k(found, 50), gold)
     return m.select("qid", "n_relevant", "n_results", *[F.round(c, 9).alias(c) for c in ("recall_10", "recall_20", "recall_50", "ndcg", "mrr", "precision")])
 
 
