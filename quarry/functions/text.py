@@ -9,6 +9,7 @@ import unicodedata
 from functools import reduce
 
 import pandas as pd
+import regex as re
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
@@ -250,3 +251,28 @@ def index_tokens(c: Column) -> Column:
 def marked_words(c: Column) -> Column:
     """Words with their marks, as one asks for them; in an index each is one token or several that stand side by side."""
     return F.regexp_extract_all(empty_if_null(c), F.lit(f"({MARKED_WORD})"), F.lit(1))
+
+
+# ---- folding of single words in tasks -----------------------------------------------------------
+
+_POSSESSIVE = re.compile(r"['’]s(?![\p{L}\p{N}\p{Mn}_])|['’](?![\p{L}\p{N}_])|['’]$")
+_INHERENT = re.compile("([क-ह]़?)(?![़ा-्ॢॣ])")
+_MARK, _DOUBLED, _OTHER = re.compile(r"\p{M}"), re.compile(r"(.)\1+"), re.compile("[^a-z0-9]")
+_PLAIN_MAP, _SIGN_MAP = str.maketrans(MARKED, PLAIN), str.maketrans(SIGNS, LETTERS)
+
+
+def fold_word(w: str) -> str:
+    """fold() of a word as a Python function, for tasks that fold each distinct word once."""
+    s = _POSSESSIVE.sub("", w)
+    if any("ऀ" <= c <= "ॿ" for c in s):
+        s = _INHERENT.sub(r"\1a", s).replace("्", "").replace("़", "")
+        for a, b in SIGN_PAIRS:
+            s = s.replace(a, b)
+        s = s.translate(_SIGN_MAP)
+    s = s.lower()
+    if not s.isascii():
+        s = _MARK.sub("", s.translate(_PLAIN_MAP))
+    s = s.replace("'", "")
+    for a, b in DIGRAPHS:
+        s = s.replace(a, b)
+    return _OTHER.sub("", _DOUBLED.sub(r"\1", s))
