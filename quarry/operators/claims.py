@@ -139,17 +139,61 @@ def title_contained(a: Column, b: Column, least: int = 12) -> Column:
     return (F.least(F.length(a), F.length(b)) >= least) & (a.contains(b) | b.contains(a))
 
 
+def _grams(c: Column, q: int) -> Column:
+    """The distinct runs of q characters; none of a shorter string."""
+    at = F.sequence(F.lit(1), F.length(c) - q + 1)
+    return F.when(F.length(c) >= q, F.array_distinct(F.transform(at, lambda i: F.substring(c, i, F.lit(q))))).otherwise(F.array().cast("array<string>"))
+
+
+def contained_pairs(short: DataFrame, long: DataFrame, q: int = 12) -> DataFrame:
+    """(s, l): strings s of `short` of q characters or more that stand in strings l of `long`, both tables of one column.
+
+    A string can only stand where all its runs of q characters do, so one that has a run which no long string has is
+    left out, and the others meet long strings on their rarest run.
+    """
+    s, l = short.select(F.col(short.columns[0]).alias("s")).distinct(), long.select(F.col(long.columns[0]).alias("l")).distinct()
+    runs = l.select("l", F.explode(_grams(F.col("l"), q)).alias("g"))
+    own = s.withColumn("gs", _grams(F.col("s"), q)).select("s", F.size("gs").alias("n"), F.explode("gs").alias("g"))
+    known = own.join(runs.groupBy("g").agg(F.count("*").alias("df")), "g").groupBy("s", "n").agg(F.count("*").alias("found"), F.min(F.struct("df", "g")).alias("rarest"))
+    return known.filter("found = n").select("s", F.col("rarest.g").alias("g")).join(runs, "g").filter(F.col("l").contains(F.col("s"))).select("s", "l")
+
+
+def work_candidates(works: DataFrame, identities: DataFrame, least: int = 12) -> DataFrame:
+    """works (..., sn, tf, tt) with the source of each identity that shares anything a score needs: an alias, a surname, a title
+    inside the other, a title word that only one source has, or two title words.
+
+    Of a work's title words the one that most sources have isn't looked up: two words in common leave another.
+    """
+    sources = lambda c, name: identities.select(F.col("source"), F.explode(F.array_distinct(c)).alias(name))
+    by_alias = works.filter("tf <> ''").join(sources("aliases", "tf"), "tf")
+    by_name = works.filter("sn <> ''").join(sources("surnames", "sn"), "sn")
+    tokens = sources("title_tokens", "tok")
+    df = tokens.groupBy("tok").agg(F.count("*").alias("df"))
+    mine = works.select("tt").distinct().select("tt", F.explode(F.array_distinct("tt")).alias("tok")).join(df, "tok")
+    mine = mine.withColumn("most", F.row_number().over(W.partitionBy("tt").orderBy(F.desc("df"), "tok"))).filter("df = 1 or most > 1")
+    by_words = works.join(mine.join(tokens, "tok").select("tt", "source").distinct(), "tt")
+    titles = identities.select("source", "title_fold")
+    inside = contained_pairs(works.select("tf"), titles.select("title_fold"), least)
+    around = contained_pairs(titles.select("title_fold"), works.select("tf"), least)
+    both = inside.select(F.col("s").alias("tf"), F.col("l").alias("title_fold")).union(around.select(F.col("l").alias("tf"), F.col("s").alias("title_fold"))).distinct()
+    by_title = works.join(both.join(titles, "title_fold").select("tf", "source"), "tf")
+    columns = [*works.columns, "source"]
+    return by_alias.select(columns).union(by_name.select(columns)).union(by_words.select(columns)).union(by_title.select(columns)).distinct()
+
+
 def match_works(works: DataFrame, identities: DataFrame, min_score: int = 2) -> DataFrame:
     """(work_id, source, score): the corpus source that a work most likely is, the first of equals.
 
-    identities: (source, ord, title_fold, title_tokens, surnames, years, aliases), one row a source of the corpus, a
-    dimension that is broadcast.  Alias 3; title contained 3, else two rare tokens 2, else one rare or two narrow ones 1;
-    surname 2; year 1.  One shared common token never links.
+    identities: (source, ord, title_fold, title_tokens, surnames, years, aliases), one row a source of the corpus.  Alias 3; title
+    contained 3, else two rare tokens 2, else one rare or two narrow ones 1; surname 2; year 1 beside one of these.  One shared
+    common token never links.  Only pairs that share something are scored.
     """
     df = identities.select(F.explode(F.array_distinct("title_tokens")).alias("tok")).groupBy("tok").agg(F.count("*").alias("df"))
-    rare = df.filter("df = 1").agg(F.collect_set("tok").alias("rare"))
+    own = identities.select("source", F.explode(F.array_distinct("title_tokens")).alias("tok")).join(df.filter("df = 1"), "tok").groupBy("source").agg(F.collect_set("tok").alias("rare"))
     w = works.select("work_id", "year", tx.surname(F.col("author")).alias("sn"), tx.fold(F.coalesce("title", F.lit(""))).alias("tf"), title_tokens(F.col("title")).alias("tt"))
-    rows = w.crossJoin(F.broadcast(identities)).crossJoin(F.broadcast(rare))
+    details = identities.join(own.withColumnRenamed("source", "r_source"), F.col("source").eqNullSafe(F.col("r_source")), "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>")))
+    details = details.select(F.col("source").alias("i_source"), "ord", "title_fold", "title_tokens", "surnames", "years", "aliases", "rare")
+    rows = work_candidates(w, identities).join(details, F.col("source").eqNullSafe(F.col("i_source")))
     common = F.array_intersect("tt", "title_tokens")
     n_rare, n = F.size(F.array_intersect(common, "rare")), F.size(common)
     title = F.when(title_contained(F.col("tf"), F.col("title_fold")), 3).when(n_rare >= 2, 2).when((n_rare >= 1) | (n >= 2), 1).otherwise(0)
@@ -184,4 +228,4 @@ def corpus_identities(titles: DataFrame) -> DataFrame:
         F.array_sort(F.collect_set("year")).alias("years"), F.array_sort(F.collect_set(tx.fold(F.col("alias")))).alias("aliases"),
     )
     rows = rows.withColumn("title_fold", tx.fold(F.coalesce("t", F.lit("")))).withColumn("title_tokens", title_tokens(F.col("t")))
-    return rows.withColumn("ord", F.row_number().over(W.orderBy("source"))).drop("t")
+    return rows.withColumn("ord", F.col("source")).drop("t")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as tx
+from . import numbering
 
 # Patterns of captions and years.
 CAPTION = r"(?i)\b((?:fig|figure|plate|pl|map|table)\.?\s*[0-9IVXivx]+[^\n.;]{0,70})"
@@ -145,7 +146,8 @@ def claim_candidates(chunks: DataFrame, mentions: DataFrame, limit: int, least:
 
 def systematic_sample(rows: DataFrame, step: int, n: int, order: str) -> DataFrame:
     """Every step-th row, the first n of these: a sampling operator."""
-    return rows.withColumn("_r", F.row_number().over(W.orderBy(order)) - 1).filter(F.col("_r") % step == 0).orderBy("_r").limit(n).drop("_r")
+    placed = numbering.numbered(rows, [order], name="_r", start=0)
+    return placed.filter(F.col("_r") % step == 0).orderBy("_r").limit(n).drop("_r")
 
 
 # ---- page work ----------------------------------------------------------------------------------

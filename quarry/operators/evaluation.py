@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
@@ -38,24 +41,63 @@ def empty_accuracy(queries: DataFrame, ranked: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("negatives"), F.count_if(F.col("k").isNull()).alias("right"), F.count_if(F.col("k") > 0).alias("leaks"))
 
 
-def bootstrap_ci(values: DataFrame, value: str = "value", samples: int = 2000, ci: float = 0.95, seed: int = 11) -> DataFrame:
-    """One row (mean, lo, hi): percentiles of the means of resamples.
+def _poisson(ids: np.ndarray, samples: int, seed: int) -> np.ndarray:
+    """(rows, samples) numbers of times that each row stands in each resample: Poisson(1) by a hash of row and resample."""
+    u = np.uint64
+    x = (ids.astype(u) * u(0x9E3779B97F4A7C15))[:, None] ^ (np.arange(1, samples + 1, dtype=u) * u(0xC2B2AE3D27D4EB4F) + u(seed))[None, :]
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> u(shift))) * u(factor)
+    uniform = ((x ^ (x >> u(31))) >> u(12)).astype(float) / float(1 << 52)
+    # Chances of 0, at most 1, at most 2 ...
+    below = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(9)])
+    return np.searchsorted(below, uniform, side="right")
 
-    A resample is made by Poisson(1) weights from a hash of (row, resample), which needs no collecting and repeats.
+
+def bootstrap_ci(values: DataFrame, value: str = "value", samples: int = 2000, ci: float = 0.95, seed: int = 11, fan: int = 64) -> DataFrame:
+    """One row (mean, lo, hi): percentiles of the means of resamples; nulls without any value.
+
+    A resample weighs rows by Poisson(1).  Each task adds up the weighted values of all resamples as two vectors, and returns
+    one row; rows merge `fan` at a time, so what is shuffled is a row a partition, whatever the number of values.
     """
     rows = values.select(F.col(value).cast("double").alias("v"), F.monotonically_increasing_id().alias("i")).filter("v is not null")
-    u = (F.pmod(F.xxhash64("i", "b", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    w, p, total = F.lit(0), 0.36787944117144233, 0.36787944117144233
-    for k in range(1, 9):
-        w = w + F.when(u > total, 1).otherwise(0)
-        p /= k
-        total += p
-    b = values.sparkSession.range(samples).withColumnRenamed("id", "b")
-    # Weighted sums are added up per resample; rows times samples never meet in one place.
-    means = rows.crossJoin(F.broadcast(b)).withColumn("w", w).groupBy("b").agg((F.sum(F.col("w") * F.col("v")) / F.nullif(F.sum("w"), F.lit(0))).alias("m"))
+    shape = "n long, total double, w array<double>, wv array<double>"
+
+    def row(n: int, total: float, w: np.ndarray, wv: np.ndarray) -> pa.RecordBatch:
+        kind = pa.list_(pa.float64())
+        return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total]), pa.array([w.tolist()], kind), pa.array([wv.tolist()], kind)], ["n", "total", "w", "wv"])
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, w, wv = 0, 0.0, np.zeros(samples), np.zeros(samples)
+        step = max(1, (1 << 21) // samples)
+        for batch in batches:
+            v, i = (c.to_numpy() for c in batch.columns)
+            n, total = n + len(v), total + float(v.sum())
+            for lo in range(0, len(v), step):
+                times = _poisson(i[lo : lo + step], samples, seed)
+                w += times.sum(0)
+                wv += v[lo : lo + step] @ times
+        if n:
+            yield row(n, total, w, wv)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, w, wv = 0, 0.0, np.zeros(samples), np.zeros(samples)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                n, total = n + batch.column(0)[k].as_py(), total + batch.column(1)[k].as_py()
+                w += np.asarray(batch.column(2)[k].values)
+                wv += np.asarray(batch.column(3)[k].values)
+        if n:
+            yield row(n, total, w, wv)
+
+    parts = rows.rdd.getNumPartitions()
+    out = rows.mapInArrow(weighed, shape)
+    while parts > 1:
+        parts = -(-parts // fan)
+        out = out.repartition(parts).mapInArrow(merged, shape)
+    means = F.zip_with("wv", "w", lambda a, b: a / F.nullif(b, F.lit(0.0)))
     tail = (1 - ci) / 2
-    ends = means.agg(F.percentile("m", F.lit(tail)).alias("lo"), F.percentile("m", F.lit(1 - tail)).alias("hi"))
-    return rows.agg(F.avg("v").alias("mean")).crossJoin(ends)
+    each = out.select((F.col("total") / F.col("n")).alias("mean"), F.explode(means).alias("m"))
+    return each.agg(F.first("mean").alias("mean"), F.percentile("m", F.lit(tail)).alias("lo"), F.percentile("m", F.lit(1 - tail)).alias("hi"))
 
 
 def floor_sweep(scored: DataFrame, floors: DataFrame, margin: float, keep: int, beta: float = 0.5) -> DataFrame:

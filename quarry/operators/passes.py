@@ -13,6 +13,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions import text as tx
 from . import claims as cl, cleaning, drafting, entities as en, grounding as gr, models
+from .numbering import numbered
 
 Client = Callable[[], models.ModelClient]
 ENTITY_TYPES = ("person", "place", "dynasty", "work", "deity", "structure", "inscription", "term", "other")
@@ -39,10 +40,10 @@ def _part(name: str, c: Column) -> Column:
 
 
 def _batched(rows: DataFrame, by: str, size: int, item: Column) -> DataFrame:
-    """(batch, items, listing): items of so many rows, in order, and their JSON with places from 0."""
-    n = F.row_number().over(W.orderBy(by)) - 1
-    grouped = rows.withColumn("batch", F.floor(n / size).cast("int")).withColumn("i", (n % size).cast("int"))
-    listed = F.array_sort(F.collect_list(F.struct("i", F.struct(item.alias("x"), *[F.col(c) for c in rows.columns]).alias("row"))))
+    """(batch, items, listing): items of so many rows, in order, and their JSON with places from 0.  Rows are numbered by ranges, in no one task."""
+    names, n = rows.columns, F.col("_number")
+    grouped = numbered(rows.select(*names), [by], name="_number", start=0).withColumn("batch", F.floor(n / size).cast("int")).withColumn("i", (n % size).cast("int"))
+    listed = F.array_sort(F.collect_list(F.struct("i", F.struct(item.alias("x"), *[F.col(c) for c in names]).alias("row"))))
     return grouped.groupBy("batch").agg(listed.alias("items")).withColumn("listing", F.to_json(F.transform("items", lambda x: F.struct(x["i"].alias("i"), x["row"]["x"].alias("x")))))
 
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.window import Window as W
 
 from ..functions.text import strip
+from ..operators.numbering import numbered
 
 CHUNK = "rowid long, source string, chunk int, trail string, heading string, page_start int, page_end int, text string, context string"
 PASSAGE = "struct<id:string,chunk_id:bigint,source:string,trail:string,heading:string,page_start:int,page_end:int,score:double,text:string>"
@@ -38,7 +38,10 @@ def markdown_corpus(spark: SparkSession, path: str) -> DataFrame:
 def chunk_file(spark: SparkSession, path: str) -> DataFrame:
     """Chunk records with a row id of their own; where the file has none it follows (source, chunk)."""
     df = spark.read.schema(CHUNK).json(path)
-    return df.withColumn("rowid", F.coalesce("rowid", F.row_number().over(W.orderBy("source", "chunk")) - 1))
+    if not df.filter("rowid is null").limit(1).count():
+        return df
+    own = numbered(df, ["source", "chunk"], name="_number", start=0)
+    return own.withColumn("rowid", F.coalesce("rowid", "_number")).select(*df.columns)
 
 
 def vectors(spark: SparkSession, path: str, expected: int | None = None) -> DataFrame:

@@ -11,7 +11,9 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .. import scratch
 from ..operators.models import RateLimiter, called
+from .snapshots import Store
 
 # Media types by ending.
 IMAGE_TYPES = {"png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "webp": "image/webp", "gif": "image/gif", "bmp": "image/bmp", "tif": "image/tiff", "tiff": "image/tiff", "avif": "image/avif"}
@@ -87,6 +89,32 @@ def read_layouts(images: DataFrame, client: Client, done: DataFrame | None = Non
     return got.select(parts[0].alias("source"), parts[1].cast("int").alias("page"), F.col("text").alias("raw"))
 
 
+def resumed(rows: DataFrame, keys: list[str], compute: Callable[[DataFrame], DataFrame], path: str, rows_a_task: int = 64) -> DataFrame:
+    """compute(rows), kept under path as tasks end: a run that was stopped goes on where it was.
+
+    Rows are dealt into tasks of about rows_a_task.  What a task has computed is committed to path when it ends, not when the job
+    does, and rows whose keys are there are never computed again, so after a failure only tasks that hadn't ended are lost.  A task that is
+    run twice leaves rows twice; the first of a key is returned.  Rows with a null key are computed each time.
+    """
+    spark = rows.sparkSession
+    store = Store(spark, path)
+    have = any(n.startswith("part-") for n, _ in store.names(""))
+    schema = compute(rows.limit(0)).schema
+    left = rows.join(spark.read.schema(schema).parquet(path).select(*keys).distinct(), keys, "left_anti") if have else rows
+    left = scratch.written(left, "left")
+    if n := left.count():
+        # The second algorithm moves a task's files into place when the task commits.
+        out = compute(left.repartition(-(-n // rows_a_task)))
+        out.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(path)
+    found = spark.read.schema(schema).parquet(path) if have or n else spark.createDataFrame([], schema)
+    return found.dropDuplicates(keys)
+
+
+def layouts_resumed(images: DataFrame, client: Client, path: str, rate: float = 1e9, pages_a_task: int = 64) -> DataFrame:
+    """read_layouts() whose pages are kept under path as they are read; the next run asks for the others alone."""
+    return resumed(images, ["source", "page"], lambda rows: read_layouts(rows, client, rate=rate), path, pages_a_task)
+
+
 def opened(content: bytes, password: str | None = None):
     """A reader of a PDF, decrypted; ValueError with a wrong password or none.  Takes pypdf."""
     import io
