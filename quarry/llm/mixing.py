@@ -6,8 +6,9 @@ without replacement.  A source's target is complete epochs first, then the short
 prefix of that order whose size comes nearest to the rest.
 
 The prefix is found without sorting a source in one task: sizes are summed in
-``BUCKETS`` key ranges per source, and only the range that the budget ends in is
-ordered.  The outcome is one key threshold per source, so the decision on a document
+key ranges per source, and only the range that the budget ends in is ordered.  Ranges are equal in the
+logarithm of the key, ``RANGES`` to each factor of e: a weight only shifts that, and an exponential's logarithm is
+nowhere denser than 1 / e, so no range holds more than some 1 / (e * RANGES) of a source's rows, whatever their weights.  The outcome is one key threshold per source, so the decision on a document
 is a projection: texts are never shuffled.
 
 Nulls: a null text has size 0; a null source is a source of its own, last in order; a
@@ -22,11 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window as W
 
+from ..operators.numbering import numbered
 from .common import drop_written, fresh_prefix, table, written, WORD
 
 SOURCE_WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
-BUCKETS = 4096
+RANGES = 256
 #: Sources up to this many rows are broadcast; beyond, the source table is joined by a shuffle.
 BROADCAST_SOURCES = 100_000
 SYMBOLS = r"[#*$%&|<>]"
@@ -49,26 +51,28 @@ def exponential_key(doc_id: Column, weight: Column) -> Column:
     return -F.log(u) / weight
 
 
+def key_range(key: Column) -> Column:
+    return F.floor(F.log(key) * RANGES).cast("int")
+
+
 def source_targets(sizes: DataFrame, weights=SOURCE_WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """sizes: (source, source_size).  Adds target: weights share the total, no target above max_epochs sizes.
 
-    Resharing the excess until none is above equals one common level per unit of weight,
-    the largest of the levels reached after capping the k sources of least cap per weight.
+    Resharing the excess until none is above equals one common level per unit of weight, the largest of the levels
+    reached after capping the k sources of least cap per weight.  Sources are numbered by ranges; caps are summed in order over
+    the distinct pairs of size and weight, for sources that have both in common reach their caps together.
     """
-    by_name = W.orderBy(F.col("source").asc_nulls_last())
-    by_cap = W.orderBy("cap_per_weight", "rank")
+    ranked = numbered(sizes, [F.col("source").asc_nulls_last()], name="rank", write=written)
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1).cast("int"))
-    return (
-        sizes.withColumn("rank", F.row_number().over(by_name))
-        .withColumn("weight", weight)
-        .withColumn("cap", F.col("source_size") * float(max_epochs))
-        .withColumn("cap_per_weight", F.col("cap") / F.col("weight"))
-        .withColumn("total", F.sum("source_size").over(W.partitionBy()))
-        .withColumn("capped", F.coalesce(F.sum("cap").over(by_cap.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0)))
-        .withColumn("weight_left", F.sum("weight").over(by_cap.rowsBetween(W.currentRow, W.unboundedFollowing)))
-        .withColumn("level", F.max((F.col("total") - F.col("capped")) / F.col("weight_left")).over(W.partitionBy()))
-        .select("source", "source_size", F.least("cap", F.col("level") * F.col("weight")).alias("target"))
-    )
+    ranked = ranked.withColumn("weight", weight).withColumn("cap", F.col("source_size") * float(max_epochs))
+    kinds = ranked.groupBy("weight", "cap").agg(F.count("*").alias("n"), F.sum("source_size").alias("size"))
+    by_cap = W.orderBy(F.col("cap") / F.col("weight"), "weight", "cap")
+    steps = kinds.select(
+        F.coalesce(F.sum(F.col("cap") * F.col("n")).over(by_cap.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0)).alias("capped"),
+        F.sum(F.col("weight") * F.col("n")).over(by_cap.rowsBetween(W.currentRow, W.unboundedFollowing)).alias("weight_left"), F.sum("size").over(W.partitionBy()).alias("total"),
+    )
+    level = steps.agg(F.max((F.col("total") - F.col("capped")) / F.col("weight_left")).alias("level"))
+    return ranked.crossJoin(F.broadcast(level)).select("source", "source_size", F.least("cap", F.col("level") * F.col("weight")).alias("target"))  # one row
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=SOURCE_WEIGHTS, max_epochs: int = MAX_EPOCHS, prefix: str = "mix_") -> DataFrame:
@@ -86,8 +90,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     )
     small = (lambda df: F.broadcast(df)) if targets.count() <= BROADCAST_SOURCES else (lambda df: df)
 
-    bucket = F.least(F.lit(BUCKETS - 1), F.floor((1.0 - F.exp(-F.col("key"))) * BUCKETS)).cast("int")
-    ranged = keyed.withColumn("bucket", bucket)
+    ranged = keyed.withColumn("bucket", key_range(F.col("key")))
     order = W.partitionBy("source").orderBy("bucket")
     ends = (
         ranged.groupBy("source", "bucket").agg(F.sum("size").alias("n"))

@@ -584,6 +584,36 @@ def test_mixing_edges(spark):
     assert mixed.columns == docs.columns and mixed.select(F.sum(mixing.n_words(F.col("text")))).first()[0] == sum(r["mix_taken"] for r in got)
 
 
+def test_mixing_key_ranges_hold_few_rows_whatever_the_weights(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.lit("# $ % & | " * 20)).when(F.col("id") % 2 > 0, F.lit("a b c")).otherwise(F.lit("a # b")).alias("text"))
+    key = mixing.exponential_key(F.col("doc_id"), mixing.quality_weight(F.col("text")))
+    n = rows.groupBy(F.col("doc_id") % 3 > 0, mixing.key_range(key)).count().agg(F.max("count")).first()[0]
+    assert n < 0.01 * 20_000 / 3
+    # The ranges are in order of the key.
+    assert rows.select(key.alias("k"), mixing.key_range(key).alias("r")).groupBy("r").agg(F.min("k").alias("a"), F.max("k").alias("b")).orderBy("r").selectExpr("a - coalesce(max(b) over (order by r rows between unbounded preceding and 1 preceding), 0) > 0 as ok").distinct().collect() == [(True,)]
+
+
+def test_mixing_many_sources_share_as_one_by_one(spark):
+    import random
+
+    r = random.Random(3)
+    sizes = {f"s{i:03d}": r.choice([0, 1, 5, 5, 40, 1000, 30_000]) for i in range(300)} | {None: 12}
+    names = sorted(k for k in sizes if k) + [None]
+    weight = {k: float(i % 3 + 1) for i, k in enumerate(names)}
+    total, target, open_ = float(sum(sizes.values())), {}, set(names)
+    while True:  # the excess of those above is reshared until none is
+        left = total - sum(target.values())
+        over = {k for k in open_ if left * weight[k] / sum(weight[x] for x in open_) > 3 * sizes[k]}
+        if not over:
+            break
+        target |= {k: 3.0 * sizes[k] for k in over}
+        open_ -= over
+    left = total - sum(target.values())
+    target |= {k: left * weight[k] / sum(weight[x] for x in open_) for k in open_}
+    got = mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
+    assert {r["source"]: r["target"] for r in got.collect()} == pytest.approx(target)
+
+
 def test_mixing_repeats(spark, sf):
     key = lambda df: sorted(map(tuple, df.collect()))
     docs = spark.read.parquet(f"{sf}/documents.parquet")
