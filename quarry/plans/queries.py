@@ -505,9 +505,13 @@ def entity_channel(spark, sf_dir):
     return s.withColumn("rank", rank).filter("rank <= 20").select("qid", "rowid", "ents", "hits", "rank")
 
 
-@query(f"WITH {REG_SQL} SELECT folded, array_to_string(list_sort(list(DISTINCT entity_id)), ',') AS ids FROM al WHERE folded <> '' GROUP BY folded HAVING count(DISTINCT entity_id) > 1")
+@query(f"""WITH al AS (SELECT 'E:PART:' || p_partkey AS entity_id, unnest([p_name, p_brand || ' ' || p_size]) AS alias FROM part), fo AS (SELECT entity_id, {_fold_sql('alias')} AS folded FROM al)
+SELECT folded, array_to_string(list_sort(list(DISTINCT entity_id)), ',') AS ids FROM fo WHERE folded <> '' GROUP BY folded HAVING count(DISTINCT entity_id) > 1""")
 def alias_collisions(spark, sf_dir):
-    return en.collisions(en.aliases(_registry(spark))).select("folded", F.array_join("ids", ",").alias("ids"))
+    """Parts are entities; their names and their brands with a size are aliases."""
+    other = F.array(F.concat_ws(" ", "p_brand", F.col("p_size").cast("string")))
+    parts = t(spark, sf_dir, "part").select(F.concat(F.lit("E:PART:"), F.col("p_partkey").cast("string")).alias("entity_id"), F.col("p_name").alias("canonical"), F.lit("part").alias("type"), other.alias("aliases"), F.lit(True).alias("curated"))
+    return en.collisions(en.aliases(en.normalised_registry(parts))).select("folded", F.array_join("ids", ",").alias("ids"))
 
 
 @query(None)
