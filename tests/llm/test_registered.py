@@ -173,3 +173,35 @@ def test_settings_and_tables(spark):
 def test_secret_kinds(spark):
     assert secrets.KINDS == ("assign", "access", "hex", "entropy")
     assert [len(b) for b in [list(common.BATCH)]] == [2] and pa is not None
+
+
+def test_pipeline_carries_null_ids_and_repeated_rows_through_all_stages(spark, sf, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    clean = docs.filter("length(text) between 400 and 3000").orderBy("doc_id").limit(12)
+    some = clean.orderBy("doc_id").limit(4)
+    no_id = clean.orderBy(F.desc("doc_id")).limit(2).withColumns({"doc_id": F.lit(None).cast("long"), "text": F.concat("text", F.lit(" tail"))})
+    empty = docs.limit(1).withColumns({"doc_id": F.lit(10**9), "text": F.lit(None).cast("string"), "source": F.lit(None).cast("string"), "n_chars": F.lit(None).cast("long")})
+    long = clean.limit(1).withColumns({"doc_id": F.lit(10**9 + 1), "text": F.concat_ws(" ", F.sequence(F.lit(1), F.lit(60_000)).cast("array<string>"))})
+    rows = clean.unionByName(some).unionByName(no_id).unionByName(empty).unionByName(long).withColumns({"key": F.lit(7), "size": F.lit("x"), "hub": F.lit(None).cast("int")})
+    rows.write.parquet(f"file://{tmp_path}/in")
+    now, counts = spark.read.parquet(f"file://{tmp_path}/in"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, now, sf)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.columns == now.columns
+        out.write.parquet(f"file://{tmp_path}/{name}")
+        before, now = now, spark.read.parquet(f"file://{tmp_path}/{name}")
+        counts[name] = collections.Counter((r["doc_id"], r["text"]) for r in now.select("doc_id", *[c if c in now.columns else F.col("decoded").alias(c) for c in ["text"]]).collect())
+        if name == "quality_rules":
+            kept = counts[name]
+            # Equal texts are judged alike, and null texts go.
+            assert all(kept[(r["doc_id"], r["text"])] in (0, 2) for r in some.collect()) and not any(t is None for _, t in kept)
+        elif name == "jaccard_join":
+            assert {k for k in kept if k[0] is None} <= set(counts[name]) and set(counts[name]) <= set(kept) and all(n == kept[k] for k, n in counts[name].items())
+        elif name == "secret_scans":
+            assert sum(counts[name].values()) == before.count() and {i for i, _ in counts[name]} == {r["doc_id"] for r in before.collect()}
+        elif name == "mixing":
+            assert set(counts[name]) <= set(counts["secret_scans"])
+        else:
+            assert sum(counts[name].values()) == before.count() and {i for i, _ in counts[name]} == {r["doc_id"] for r in before.collect()}
