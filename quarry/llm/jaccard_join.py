@@ -25,7 +25,7 @@ Nulls and texts without words have an empty set and are linked with nothing; a n
 takes part in no link and has a null component unless its set equals that of another
 row.  Rows that repeat an id are judged each by its own text but are one node.  Very long texts
 are sets as a whole; of sets that tie on size the smaller id comes first.  An empty table gives an
-empty result.  Other columns are not read; one_of_each keeps them, whatever their names.
+empty result.  Ids are numbers, or text that is one: other text ends the job with a cast error.  Other columns are not read; one_of_each keeps them, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ A payload is the UTF-8 of the html (null: empty).  A null url is left out of the
 null id too: such a row revisits the largest id with its payload, and if no row of that payload
 has an id they are all responses.  Where rows repeat the largest id of a payload, one of them is
 the response and the others revisit it.  Other columns are not stored, whatever their names.  An
-empty table gives an archive without records.
+empty table gives an archive without records.  Ids are numbers, or text that is one: other text ends the job with a cast error.
+Payloads are shuffled by digest where more than BROADCAST_ROWS groups of equal ones exist.
 """
 
 from __future__ import annotations
