@@ -433,3 +433,19 @@ def test_proper_nouns_after_many_blanks_and_in_long_texts(spark):
     t = time.time()
     got = {r["i"]: r["n"] for r in spark.createDataFrame(rows, "i int, text string").select("i", tx.proper_nouns(F.col("text")).alias("n")).collect()}
     assert got == {1: ["Bhoja", "Dhara"], 2: [name(k) for k in range(40_000)]} and time.time() - t < 60
+
+
+def test_near_duplicate_names_in_groups(spark, monkeypatch):
+    """Many entities of one name, ids with several rows, equal and missing orders: as comparing each with each gives."""
+    monkeypatch.setattr(en, "GROUP", 3)
+    monkeypatch.setattr(en, "DEALT", 10)
+    names = ["re", "red", "redo", "redorange", "blu", "redorangebluegreen", "", None]
+    rows = [(f"E{i}", names[i % 8], i) for i in range(64)] + [("E1", "redorb", 1), ("E1", "redorb", 1), ("E2", "redorbi", 70), ("E80", "bl", None), ("E81", "bl", 3), (None, "b", 90)]
+    reg = spark.createDataFrame(rows, "entity_id string, canonical string, ord int")
+    got = [(r["a"], r["b"]) for r in en.near_duplicates(reg).collect()]
+    want = set()
+    for x, n, o in rows:
+        for y, m, p in rows:
+            if n and m and o is not None and p is not None and o != p and m != n and m.startswith(n) and len(m) - len(n) <= 12:
+                want.add((x, y) if o < p else (y, x))
+    assert len(got) == len(set(got)) and set(got) == want
