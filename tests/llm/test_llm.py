@@ -177,6 +177,30 @@ def test_t_occurrence():
         assert jj.t_occurrence(lists, t) == {k: v for k, v in n.items() if v >= t}
 
 
+def test_jaccard_sketches_keep_every_similar_pair(spark, monkeypatch):
+    rng = np.random.default_rng(41)
+    sets, doc = [], []
+    for i in range(60):
+        base = rng.integers(0, 2**63, [4, 30, 400, 1500][i % 4]).astype(np.uint64)
+        kept = int(len(base) * (1 - rng.random() / 6))
+        sets += [base, base[:kept]] if i % 3 else [base]
+    g, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    n, bits = np.array([len(x) for x in sets]), jj.parities(g, doc, len(sets)).reshape(len(sets), -1).view(np.uint64)
+    similar = np.zeros(len(sets), bool)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            common = len(np.intersect1d(x, y))
+            similar[i] |= i != j and jj.DEN * common >= jj.NUM * (len(x) + len(y) - common)
+    able = jj.able(n, bits)
+    assert (able >= similar).all() and similar.sum() > 50 and not able[n == 400][~similar[n == 400]].any()
+    # Of a hub with unrelated members those that are similar stay; of one with more rows than are compared, all.
+    order = sorted(range(len(sets)), key=lambda i: i)
+    rows = spark.createDataFrame([(7, i, int(n[i]), bytearray(bits[i].tobytes())) for i in order], "hub long, id long, n long, bits binary").coalesce(1)
+    assert {r["id"] for r in jj.possible(rows).collect()} == set(np.flatnonzero(able).tolist())
+    monkeypatch.setattr(jj, "SKETCHED", 20)
+    assert sorted(r["id"] for r in jj.possible(rows).collect()) == order
+
+
 def test_jaccard_edges(spark):
     rows = jj.link_components(frame(spark)).collect()
     assert len(rows) == len(ODD) and {r["component_id"] for r in rows if r["id"] == 5} == {5}
