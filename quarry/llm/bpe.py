@@ -39,9 +39,11 @@ CUT_MASK = 63
 CUT_BYTES = 16
 CACHED_CHUNKS, CACHED_SIDES, CACHED_JOINS = 50_000, 30_000, 30_000
 #: Bytes of text whose chunks are encoded at once.
-ENCODED_BYTES = 3 << 20
-#: Texts that the library encodes at a time.
-BATCH_TEXTS = 8000
+ENCODED_BYTES = 1 << 20
+#: Texts that the library encodes at a time: what it gives of a text is some fifty times its size.
+BATCH_TEXTS = 1000
+#: Rows whose ids and decoded texts are held at once; every worker of an executor holds its own.
+CODED_ROWS = 500
 #: Longer chunks and joins are not kept in a table.
 CACHED_BYTES = 1024
 #: The end of a word inside a token; some tokenizers write spaces and line ends as other characters.
@@ -120,7 +122,6 @@ class ChunkCoder:
 
     def _ids(self, tokenizer, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        # What the library gives of a text is some fifty times its size.
         for lo in range(0, len(texts), BATCH_TEXTS):
             ids = [e.ids for e in tokenizer.encode_batch(texts[lo : lo + BATCH_TEXTS], add_special_tokens=False)]
             ends = (4 * np.cumsum([0, *map(len, ids)])).tolist()
@@ -277,6 +278,18 @@ def worker_coder(json: str) -> ChunkCoder:
     return _coders[key]
 
 
+def coded_batches(batches: Iterator[pa.RecordBatch], coder: ChunkCoder, at: int) -> Iterator[pa.RecordBatch]:
+    """Batches with token_ids and decoded of their column number `at`."""
+    for batch in batches:
+        # Slices bound what is held at once where a session's batches are large.
+        for lo in range(0, batch.num_rows, CODED_ROWS):
+            part = batch.slice(lo, CODED_ROWS)
+            coded = list(coder.code(part.column(at)))
+            cols = [*part.columns, pa.array([c[0] for c in coded], pa.binary()), pa.array([c[1] for c in coded], pa.string())]
+            del coded
+            yield pa.RecordBatch.from_arrays(cols, [*part.schema.names, "token_ids", "decoded"])
+
+
 def encode(docs: DataFrame, tokenizer_json: str, text_col: str = "text") -> DataFrame:
     """docs with token_ids (little-endian unsigned 32-bit) and decoded; columns of those names are replaced."""
     docs = docs.drop("token_ids", "decoded")
@@ -284,14 +297,7 @@ def encode(docs: DataFrame, tokenizer_json: str, text_col: str = "text") -> Data
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = worker_coder(tokenizer_json)
-        for batch in batches:
-            # Slices bound what is held at once where a session's batches are large.
-            for lo in range(0, batch.num_rows, 2000):
-                part = batch.slice(lo, 2000)
-                coded = list(coder.code(part.column(at)))
-                cols = [*part.columns, pa.array([c[0] for c in coded], pa.binary()), pa.array([c[1] for c in coded], pa.string())]
-                yield pa.RecordBatch.from_arrays(cols, [*part.schema.names, "token_ids", "decoded"])
+        return coded_batches(batches, worker_coder(tokenizer_json), at)
 
     return docs.mapInArrow(tidy(run), schema)
 

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -368,6 +369,34 @@ def test_bpe_joins_are_repaired(monkeypatch, added, name):
     assert any(not ok for ok in known) and any(known)
 
 
+MEMORY_OF_CODING = """
+import random
+import pyarrow as pa
+from quarry.llm import bpe
+
+def most():
+    return next(int(x.split()[1]) for x in open("/proc/self/status") if x.startswith("VmHWM")) / 1e3
+
+rnd = random.Random(6)
+words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(20000)]
+batch = pa.RecordBatch.from_arrays([pa.array([" ".join(rnd.choices(words, k=500)) for _ in range(2000)])], ["text"])
+coder = bpe.ChunkCoder(bpe.public_tokenizer())
+before, rows = most(), 0
+for out in bpe.coded_batches(iter([batch]), coder, 0):
+    rows += out.num_rows
+print(rows, most() - before)
+"""
+
+
+def test_bpe_memory_of_a_worker():
+    """6 MB of texts, an Arrow batch as prepare() bounds it, which took 213 MB more than the coder when 3 MB were encoded at once."""
+    import subprocess
+    import sys
+
+    rows, more = subprocess.run([sys.executable, "-c", MEMORY_OF_CODING], capture_output=True, text=True, check=True, timeout=300, env=os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)}).stdout.split()
+    assert int(rows) == 2000 and float(more) < 120
+
+
 def test_bpe_encodes_whole_chunks_once(monkeypatch):
     c = bpe.ChunkCoder(bpe.public_tokenizer())
     seen = []
