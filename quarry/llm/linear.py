@@ -188,4 +188,5 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, features:
     got = rows.mapInArrow(tidy(run), "doc_id string, y double, f binary, v binary").toArrow()
     order = np.argsort(np.array(got.column("doc_id").to_pylist(), object), kind="stable") if len(got) else np.zeros(0, int)
     f, v, y = (got.column(c) for c in ("f", "v", "y"))
-    return [(np.frombuffer(f[i].as_py(), np.int32), np.frombuffer(v[i].as_py(), np.float32)) for i in order.tolist()], np.array([y[i].as_py() for i in order.tolist()])
+    # Views of what came: the driver holds no second copy.
+    return [(np.frombuffer(f[i].as_buffer(), np.int32), np.frombuffer(v[i].as_buffer(), np.float32)) for i in order.tolist()], np.array([y[i].as_py() for i in order.tolist()])

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .blocks import Block, blocks, counts, grams, IS_SPACE, mix, run_hashes, spans, tidy, words
+from .blocks import Block, blocks, counts, give_back, grams, IS_SPACE, mix, run_hashes, spans, tidy, words
 from .common import table
 from .linear import Features, fit_platt, margins, sigmoid, sparse_rows, train_adagrad, training_rows
 
@@ -129,7 +129,11 @@ def judge(docs: DataFrame, model: QualityModel | None, text_col: str = "text", k
 
 
 def model_for(docs: DataFrame, labels: DataFrame) -> QualityModel | None:
-    return fit(*training_rows(docs, labels, "quality", FEATURES, MAX_TRAINING_ROWS))
+    try:
+        return fit(*training_rows(docs, labels, "quality", FEATURES, MAX_TRAINING_ROWS))
+    finally:
+        # The driver lives on as workers do, and would hold the sample's memory through all stages.
+        give_back()
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
